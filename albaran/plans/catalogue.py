@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from albaran.plans import problems
+from albaran.plans import problems, records, texts
 
-QUERIES = {**problems.QUERIES}
-SQL = {**problems.SQL}
-FLAGSHIP = problems.p1_found
+QUERIES = {**problems.QUERIES, **texts.QUERIES, **records.QUERIES}
+SQL = {**problems.SQL, **texts.SQL, **records.SQL}
+FLAGSHIP = texts.line_items
