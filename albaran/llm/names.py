@@ -75,7 +75,7 @@ ursula: ursel uschi uschi ulla
 hendrik: henk rik hein henry
 viktoria: vika vicky vickie vicki viktorija victoria
 william: bill will billy wm liam
-margaret: peggy maggie meg marge madge greta
+margaret: peggy maggie meg marge madge greta marga
 nicolas: nico nick colas
 antonio: tono toni tony anton ant
 catherine: cathy kate katie cath kathy
@@ -123,7 +123,10 @@ def _table(text: str) -> dict[str, str]:
 
 TRADE_OF, GIVEN_OF = _table(TRADES), _table(GIVEN)
 LEGAL_SET, EMPTY_SET = frozenset(LEGAL), frozenset(EMPTY_WORDS)
-LONG_TRADES = sorted({t for t in TRADE_OF.values()})
+LONE_TRADES = sorted({t for t in TRADE_OF.values() if " " not in t})
+TWO_WORD_TRADES = sorted({t for t in TRADE_OF.values() if " " in t})
+#: Single digits that stand for an initial.
+DIGIT_INITIALS = {"1": "i", "5": "s", "8": "b", "0": "o"}
 LONG_LEGAL = [x for x in LEGAL if len(x) >= 6]
 LONG_EMPTY = [x for x in EMPTY_WORDS if len(x) >= 6]
 
@@ -156,7 +159,7 @@ def _mend(w: str) -> str:
 class Name:
     """A parsed name: trades, given names, initials and the other tokens (family or company words)."""
 
-    __slots__ = ("trade", "given", "initials", "core", "weak")
+    __slots__ = ("trade", "given", "initials", "core", "weak", "vague")
 
     def __init__(self, raw: str):
         s = re.sub(r"\([^)]*\)?", " ", raw)
@@ -164,102 +167,166 @@ class Name:
         s = re.sub(r"[&+]", " ", s)
         s = re.sub(r"\b([a-z0-9])\.(?=\s?[a-z0-9]\b)", r"\1", s)  # s.r.l. -> srl.
         s = re.sub(r"\b(s) a r l\b|\bs\.? a r\.?l\b", "sarl", s)
+        s = re.sub(r"\b([a-z]{2,6})\.([a-z]{1,2})\b", r"\1\2", s)  # a point that slipped in before the last letters
         s = re.sub(r"[^a-z0-9]+", " ", s)
         words = [_mend(w) for w in s.split()]
-        words = [w for w in words if not w.isdigit()]
+        words = [DIGIT_INITIALS.get(w, w) for w in words if not w.isdigit() or w in DIGIT_INITIALS]
         self.trade: set[str] = set()
         self.given: set[str] = set()
         self.initials: list[str] = []
         self.core: list[str] = []
+        rest = self._known(words)
+        legal = any(w in LEGAL_SET for w in words)
+        if legal and len(rest) > 1 and rest[-1] == words[-1] and any(x.startswith(rest[-1]) for x in LONG_LEGAL):
+            rest = rest[:-1]  # a legal form cut off at the end
+        if not self.trade:
+            rest = self._mistyped_trade(rest)
+        if self.given and (self.trade - {"ingenieria"} or self.trade and "ing" not in words):
+            rest = [w for w in words if GIVEN_OF.get(w) in self.given or w in rest]  # a company's word
+            self.given = set()
+        elif self.given:
+            self.trade = set()  # the title of a person
+        mended = [self._short_trade, self._mistyped_given] if legal else [self._mistyped_given, self._short_trade]
+        for mend in mended:
+            if not self.trade and not self.given and (mend != self._short_trade or not self.initials):
+                rest = mend(rest)
+        rest = [w for w in rest if not (len(w) <= 5 and not any(c in "aeiouy" for c in w))]
+        if self.trade and len(rest) > 1:
+            rest = self._late_legal(rest)
+        if len(rest) > 1 and words[0] == rest[0] and any(lcs_ratio(rest[0], x) >= 0.8 for x in ("grupo", "group", "empresa", "proveedor", "supplier")):
+            rest = rest[1:]
+        self.core = rest
+        self.vague = not self.trade and not self.given and not self.initials
+        self.weak = self.vague or not self.trade and (bool(self.initials) or len(self.core) < 2)
+
+    def _known(self, words: list[str]) -> list[str]:
+        """Takes out what is written right; the other words."""
+        rest: list[str] = []
         i, n = 0, len(words)
         while i < n:
-            two = " ".join(words[i : i + 2])
-            if two in TRADE_OF:
-                self.trade.add(TRADE_OF[two])
-                i += 2
-                continue
-            if i + 1 < n and len(two) >= 10 and (t := self._near(two, [x for x in LONG_TRADES if " " in x], 0.85)):
-                self.trade.add(t)
+            w, two = words[i], " ".join(words[i : i + 2])
+            if two in TRADE_OF or i + 1 < n and len(two) >= 10 and self._near(two, TWO_WORD_TRADES, 0.85):
+                self.trade.add(TRADE_OF.get(two) or self._near(two, TWO_WORD_TRADES, 0.85))
                 i += 2
                 continue
-            self._take(words[i])
             i += 1
-        if "materiales" in self.trade and "building materials" in self.trade:
+            if w in LEGAL_SET or w in EMPTY_SET:
+                continue
+            if w in TRADE_OF:
+                self.trade.add(TRADE_OF[w])
+            elif w in GIVEN_OF:
+                self.given.add(GIVEN_OF[w])
+            elif len(w) == 1:
+                self.initials.append(w)
+            elif len(w) >= 5 and self._near(w, LONG_LEGAL + LONG_EMPTY, 0.83):
+                continue
+            else:
+                rest.append(w)
+        if {"materiales", "building materials"} <= self.trade:
             self.trade.discard("materiales")
-        if self.given and self.trade == {"ingenieria"} and "ing" in words:
-            self.trade = set()  # the title of a person
-        if not self.given and not self.trade and len(self.core) > 2:
-            for w in self.core:
-                if len(w) >= 4 and (g := self._near(w, [x for x in GIVEN_OF if len(x) >= 4 and x[0] == w[0]] or list(GIVEN_OF), 0.75)):
-                    self.given.add(GIVEN_OF[g])
-                    self.core.remove(w)
-                    break
-        if not self.given and not self.trade and self.core:
-            self._short_trade()
-        if self.trade and len(self.core) > 1:
-            self._late_legal()
-        if self.trade:
-            self.initials = []
-        self.weak = bool(self.initials) or len(self.core) + len(self.given) < 2 and not self.trade or bool(self.given) and len(self.core) < 2
-
-    def _short_trade(self) -> None:
-        """A mistyped short form of a trade, if the name has no trade otherwise."""
-        best = max(((lcs_ratio(w, t), w, t) for w in self.core if 3 <= len(w) <= 6 for t in TRADE_OF if 3 <= len(t) <= 8), default=(0, "", ""))
-        if best[0] >= 0.75 and len(self.core) > 1:
-            self.core.remove(best[1])
-            self.trade.add(TRADE_OF[best[2]])
-
-    def _late_legal(self) -> None:
-        """A mistyped legal form beside the company's words."""
-        for w in self.core:
-            if 3 <= len(w) <= 9 and any(w[0] == x[0] and lcs_ratio(w, x) >= 0.75 for x in LEGAL if len(x) >= 4):
-                self.core.remove(w)
-                return
+        return rest
+
+    def _mistyped_trade(self, rest: list[str]) -> list[str]:
+        best = (0.0, "", "")
+        for w in rest:
+            own = max(lcs_ratio(w, g) for g in GIVEN_OF)
+            if len(w) >= 5 and own > max(lcs_ratio(w, x) for x in LONE_TRADES):
+                continue  # rather a given name
+            if len(w) >= 5 and not self.given:
+                t = max(LONE_TRADES, key=lambda x: lcs_ratio(w, x))
+                best = max(best, (lcs_ratio(w, t), w, t))
+            if len(w) >= 4 and not self.given:
+                t = max((x for x in TRADE_OF if len(x) >= 4 and " " not in x), key=lambda x: lcs_ratio(w, x))
+                best = max(best, (lcs_ratio(w, t) - 0.04, w, t))
+        if best[0] < 0.8:
+            return rest
+        self.trade.add(TRADE_OF[best[2]])
+        return [w for w in rest if w != best[1]]
+
+    def _mistyped_given(self, rest: list[str]) -> list[str]:
+        """A given name with a slip: same first letter, or the whole word but one letter."""
+        best = (0.0, "", "")
+        for w in rest:
+            if len(w) >= 4:
+                for g in GIVEN_OF:
+                    r = lcs_ratio(w, g)
+                    if len(g) >= 4 and r >= (0.75 if g[0] == w[0] and len(rest) > 2 else 0.83):
+                        best = max(best, (r, w, g))
+        if not best[0] or len(rest) < 2:
+            return rest
+        self.given.add(GIVEN_OF[best[2]])
+        return [w for w in rest if w != best[1]]
+
+    def _short_trade(self, rest: list[str]) -> list[str]:
+        """A mistyped short form of a trade, if the name has nothing else."""
+        best = max(((lcs_ratio(w, t), w, t) for w in rest if 3 <= len(w) <= 6 for t in TRADE_OF if 3 <= len(t) <= 8), default=(0, "", ""))
+        if best[0] < 0.75 or len(rest) < 2:
+            return rest
+        self.trade.add(TRADE_OF[best[2]])
+        return [w for w in rest if w != best[1]]
+
+    @staticmethod
+    def _late_legal(rest: list[str]) -> list[str]:
+        """Without a mistyped legal form beside the company's words."""
+        for w in rest:
+            if 3 <= len(w) <= 9 and any(w[0] == x[0] and lcs_ratio(w, x) >= 0.75 or sorted(w) == sorted(x) for x in LEGAL if len(x) >= 4):
+                return [x for x in rest if x != w]
+        return rest
 
     @staticmethod
     def _near(w: str, words: list[str], least: float) -> str | None:
         best = max(words, key=lambda x: lcs_ratio(w, x))
         return best if lcs_ratio(w, best) >= least else None
 
-    def _take(self, w: str) -> None:
-        if w in LEGAL_SET or w in EMPTY_SET:
-            return
-        if w in TRADE_OF:
-            self.trade.add(TRADE_OF[w])
-        elif w in GIVEN_OF:
-            self.given.add(GIVEN_OF[w])
-        elif len(w) == 1:
-            self.initials.append(w)
-        elif len(w) <= 5 and not any(c in "aeiouy" for c in w):
-            return
-        elif len(w) >= 5 and self._near(w, LONG_LEGAL, 0.83):
-            return
-        elif len(w) >= 5 and self._near(w, LONG_EMPTY, 0.83):
-            return
-        elif len(w) >= 5 and (t := self._near(w, [x for x in LONG_TRADES if " " not in x], 0.8)):
-            self.trade.add(t)
-        elif len(w) >= 4 and (t := self._near(w, [x for x in TRADE_OF if len(x) >= 4 and " " not in x], 0.84)):
-            self.trade.add(TRADE_OF[t])
-        elif len(w) >= 4 and (g := self._near(w, list(GIVEN_OF), 0.8 if len(w) >= 6 else 0.88)):
-            self.given.add(GIVEN_OF[g])
-        else:
-            self.core.append(w)
-
 
 @lru_cache(maxsize=100_000)
 def parse(raw: str) -> Name:
     return Name(raw)
 
 
+def _align(left: list[str], right: list[str], least: float) -> tuple[float, float, list[str], list[str]]:
+    """Best pairs of tokens first: matched weight, matched length, the tokens left over on both sides."""
+    pairs = []
+    for i, x in enumerate(left):
+        for j, y in enumerate(right):
+            r = lcs_ratio(x, y)
+            short, long_, last = (x, y, i == len(left) - 1) if len(x) < len(y) else (y, x, j == len(right) - 1)
+            if last and len(short) >= 2 and long_.startswith(short):
+                r = max(r, 0.85)  # cut off at the end
+            pairs.append((r, i, j))
+    pairs.sort(reverse=True)
+    used_l: set[int] = set()
+    used_r: set[int] = set()
+    weight = total = 0.0
+    for r, i, j in pairs:
+        if r < least:
+            break
+        if i in used_l or j in used_r:
+            continue
+        used_l.add(i)
+        used_r.add(j)
+        size = len(left[i]) + len(right[j])
+        weight += r * size
+        total += size
+    return weight, total, [x for i, x in enumerate(left) if i not in used_l], [x for j, x in enumerate(right) if j not in used_r]
+
+
 def similarity(a: Name, b: Name, least_token: float = 0.6) -> float:
     """0 where the names can't be one supplier's, else the length-weighted LCS ratio of their aligned tokens."""
-    if not (a.core or a.given) or not (b.core or b.given):
+    if not a.core or not b.core:
         return 0.0
-    if a.trade and b.trade and a.trade != b.trade or bool(a.trade) != bool(b.trade):
+    if a.vague != b.vague and (a.trade or b.trade):
+        # a name without a readable trade: all words of the other, and at most one short word more
+        full, part = (b, a) if a.vague else (a, b)
+        weight, total, rest, more = _align(full.core, part.core, least_token)
+        fine = total and not rest and len(more) <= 1 and all(len(x) <= 6 for x in more)
+        return weight / total if fine else 0.0
+    if a.trade != b.trade:
         return 0.0
     company = bool(a.trade)
     left, right = list(a.core), list(b.core)
     ia, ib = list(a.initials), list(b.initials)
+    named = bool(a.given and b.given)
     if not company:
         if a.given and b.given:
             if not a.given & b.given:
@@ -274,26 +341,12 @@ def similarity(a: Name, b: Name, least_token: float = 0.6) -> float:
                 if best[0] < 0.7:
                     return 0.0
                 other.remove(best[1])
+                named = True
         elif ia and ib and ia[0] != ib[0]:
             return 0.0
-    pairs = sorted(((lcs_ratio(x, y), i, j) for i, x in enumerate(left) for j, y in enumerate(right)), reverse=True)
-    used_l: set[int] = set()
-    used_r: set[int] = set()
-    weight = total = 0.0
-    for r, i, j in pairs:
-        if r < least_token:
-            break
-        if i in used_l or j in used_r:
-            continue
-        used_l.add(i)
-        used_r.add(j)
-        size = len(left[i]) + len(right[j])
-        weight += r * size
-        total += size
+    weight, total, rest_l, rest_r = _align(left, right, least_token)
     if not total:
         return 0.0
-    rest_l = [x for i, x in enumerate(left) if i not in used_l]
-    rest_r = [x for j, x in enumerate(right) if j not in used_r]
     for rest, initials in ((rest_l, ib), (rest_r, ia)):
         for x in list(rest):
             hit = next((k for k in initials if x[0] == k), None)
@@ -309,18 +362,19 @@ def similarity(a: Name, b: Name, least_token: float = 0.6) -> float:
         if company:
             if lcs_ratio("".join(left), "".join(right)) < 0.85:
                 return 0.0
-        elif len(rest) > 1 or not (a.given and b.given) and not (a.initials or b.initials):
+        elif len(rest) > 1 or not named and not (a.initials or b.initials):
             return 0.0
     return weight / total
 
 
 def conflict(a: Name, b: Name) -> bool:
     """Another trade, given name or family name: never one supplier."""
-    if a.trade != b.trade:
+    if a.trade and b.trade and a.trade != b.trade or a.trade and b.given or b.trade and a.given:
         return True
     if not a.trade and a.given and b.given and not a.given & b.given:
         return True
-    return not any(lcs_ratio(x, y) >= 0.55 for x in a.core for y in b.core)
+    _, total, _, _ = _align(a.core, b.core, 0.55)
+    return total < 0.6 * 2 * min(sum(map(len, a.core)), sum(map(len, b.core)))
 
 
 def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str]]:
