@@ -399,3 +399,12 @@ def retry_metadata(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "extracted_procurement").select("rec_id", "total_amount")
     c = F.col("total_amount")
     return A.with_fallback(e, parse_numeric(c), safe_float(c), "amount").drop("total_amount")
+
+
+@query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, min(value) AS least, max(value) AS greatest FROM events GROUP BY ALL")
+def stream_event_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Tumbling windows over a stream of the events' files, run to its end."""
+    from albaran.streaming import events as E
+
+    stream = E.read_files(spark, d, "events.parquet", table(spark, d, "events").schema)
+    return E.run_to_end(E.window_counts(stream, "ts", "event_type", late="3650 days"), "events")
