@@ -16,6 +16,8 @@ import zoneinfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from albaran.functions.lookup import among, lookup
+
 # Month names, January to December, in English, Spanish, Portuguese, French, German, Italian, Dutch.
 MONTH_NAMES = """
 january february march april may june july august september october november december
@@ -58,7 +60,7 @@ def month_table() -> dict[str, int]:
 
 def pattern() -> str:
     """The alternation of all formats, with one name for each component."""
-    months = "|".join(sorted(month_table(), key=lambda x: (-len(x), x)))
+    months = r"\p{L}{3,12}"  # a word; the table says afterwards whether it is a month
     two, year = f"{_D}{{1,2}}", f"{_D}{{4}}"
     dates = [
         f"(?<y>{year})[-/.](?<m>{two})[-/.](?<d>{two})",
@@ -123,10 +125,8 @@ def stages(value: str, tz_name: str, date_order: str, years: tuple[int, int], ou
     n = lambda g: F.get(col("n"), NUMBERS.index(g))
     t = lambda g: F.nullif(F.get(col("t"), TEXTS.index(g)), F.lit(""))
     full = lambda y: F.when(y < 100, y + 2000).otherwise(y)
-    months = F.create_map(*[F.lit(x) for kv in month_table().items() for x in kv])
-    minutes = F.create_map(*[F.lit(x) for kv in ZONE_MINUTES.items() for x in kv])
-    known = F.array(*[F.lit(z) for z in sorted(zoneinfo.available_timezones()) if "/" in z])
-    month = F.try_element_at(months, F.lower(F.coalesce(t("mt"), t("mu")))).cast("bigint")
+    month = lookup(month_table(), F.lower(F.coalesce(t("mt"), t("mu")))).cast("bigint")
+    zones = sorted(z for z in zoneinfo.available_timezones() if "/" in z)
     a, b, year, order = col("a"), col("b"), col("y0"), F.col(date_order)
     dmy = _valid(year, b, a)
     mdy = _valid(year, a, b)
@@ -153,7 +153,7 @@ def stages(value: str, tz_name: str, date_order: str, years: tuple[int, int], ou
             "_ts_epoch": epoch.cast("bigint"),
             "_ts_serial": (n("serial") - 25569).cast("int"),
             "_ts_zone": t("zone"),
-            "_ts_off": F.coalesce(east, F.try_element_at(minutes, F.upper(t("zone")))).cast("bigint"),
+            "_ts_off": F.coalesce(east, lookup(ZONE_MINUTES, F.upper(t("zone")))).cast("bigint"),
         },
         {"_ts_dmy": dmy, "_ts_mdy": mdy},
         {
@@ -167,7 +167,7 @@ def stages(value: str, tz_name: str, date_order: str, years: tuple[int, int], ou
         },
         {
             "_ts_real": _valid(y, m, d) & y.between(*years) & (h.isNull() | F.coalesce(h.between(0, 23) & i.between(0, 59) & s.between(0, 59), F.lit(False))),
-            "_ts_place": F.when(col("zone").contains("/"), F.when(F.array_contains(known, col("zone")), col("zone"))).when(col("zone").isNull(), F.col(tz_name)),
+            "_ts_place": F.when(col("zone").contains("/"), F.when(among(zones, col("zone")), col("zone"))).when(col("zone").isNull(), F.col(tz_name)),
         },
         {"_ts_day": F.when(col("real"), days_from_civil(y, m, d).cast("bigint"))},
         {"_ts_wall": col("day") * 86400 + h * 3600 + i * 60 + s},

@@ -14,7 +14,7 @@ from albaran.operators import lines as L
 from albaran.operators import quality as Q
 from albaran.operators import tables as T
 from albaran.plans import sqltext as S
-from albaran.session import table
+from albaran.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,7 +193,7 @@ _HEAD = f"""(len(list_filter(cells, lambda x: {S.has(_V, T.HEADER_LABELS)} OR (u
 
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
-    return T.piped_rows(table(spark, d, "documents"), "doc_id", "text")
+    return T.piped_rows(spread(table(spark, d, "documents")), "doc_id", "text")
 
 
 @query(f"WITH {_CUT} SELECT doc, row_no, {_HEAD} AS is_header FROM rw")

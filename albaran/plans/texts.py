@@ -13,7 +13,7 @@ from albaran.functions import text as tx
 from albaran.operators import documents as D
 from albaran.operators import lines as L
 from albaran.plans import sqltext as S
-from albaran.session import table
+from albaran.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,7 +31,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def _totals(spark: SparkSession, d: str) -> DataFrame:

@@ -13,6 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, for expressions that cost much more than moving the rows.
+
+    A small file is one task otherwise. Larger inputs have more partitions than cores already and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder for checkpoints; a private one only where the session names none."""
     sc = spark.sparkContext
