@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from albaran.functions.lookup import lookup
+
 LANGS = ("en", "es", "pt", "fr", "de", "it", "nl")
 SAMPLE = 6000
 WINDOW, STRIDE = 112, 80
@@ -164,12 +166,12 @@ class ByteCnn:
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE, most_windows: int = 12000, seed: int = 7) -> ByteCnn:
     """The network from at most `sample` labelled rows: those with the least hashes of the id, a bounded top-k.
 
-    Only texts of at most 20,000 characters are taken for the sample, so that it stays small.
+    Only texts of at most 5,000 characters are taken for the sample, so that it stays under 30 MB.
     """
     known = F.lower(F.trim(F.col(label)))
     forms = sorted(LABEL_OF)
     mine = F.split(known, "[-_ (]").getItem(0).isin(forms)
-    rows = docs.where(mine & (F.length(text) > 40) & (F.length(text) <= 20_000)).select(key, text, label)
+    rows = docs.where(mine & (F.length(text) > 40) & (F.length(text) <= 5_000)).select(key, text, label)
     picked = rows.orderBy(F.xxhash64(F.col(key)), F.col(key), F.col(text)).limit(sample).collect()
     rng = np.random.default_rng(seed)
     xs, ys = [], []
@@ -258,7 +260,6 @@ def segments(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
 
 def corrections(found: DataFrame) -> DataFrame:
     """The rows of segments whose label is missing, meaningless or of another language, and all of mixed texts."""
-    table = F.create_map(*[F.lit(x) for kv in LABEL_OF.items() for x in kv])
     s = F.lower(F.trim(F.coalesce(F.col("label"), F.lit(""))))
-    code = F.coalesce(F.try_element_at(table, s), F.try_element_at(table, F.split(s, "[-_ (]").getItem(0)))
+    code = F.coalesce(lookup(LABEL_OF, s), lookup(LABEL_OF, F.split(s, "[-_ (]").getItem(0)))
     return found.where(F.col("mixed") | code.isNull() | (code != F.col("lang")))

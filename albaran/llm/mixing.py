@@ -21,9 +21,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from albaran.functions.lookup import lookup
 from albaran.llm.language import LABEL_OF
 from albaran.llm.tokens import VOCABULARY, token_counts
-from albaran.session import cut
+from albaran.session import cut, spread
 
 TOPICS = ("clean", "scanned", "specification", "edge")
 BINS = 512
@@ -31,9 +32,8 @@ BINS = 512
 
 def language_cell(label: Column) -> Column:
     """The label as one of seven codes or 'other'."""
-    table = F.create_map(*[F.lit(x) for kv in LABEL_OF.items() for x in kv])
     s = F.lower(F.trim(F.coalesce(label, F.lit(""))))
-    return F.coalesce(F.try_element_at(table, s), F.try_element_at(table, F.split(s, "[-_ (]").getItem(0)), F.lit("other"))
+    return F.coalesce(lookup(LABEL_OF, s), lookup(LABEL_OF, F.split(s, "[-_ (]").getItem(0)), F.lit("other"))
 
 
 def rake(tokens: np.ndarray, marginals: list[np.ndarray], most: np.ndarray, rounds: int = 200, close: float = 1e-9) -> np.ndarray:
@@ -99,7 +99,7 @@ def sized(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str,
     """(key, source, lang, topic, tokens, bin) of the documents of the target sources, cut by a checkpoint."""
     wanted = [r[0] for r in targets.select("source").collect()]  # a fixed table
     of = docs.where(F.col(source).isin(wanted))
-    of = token_counts(of.select(key, text, source, lang, topic), [key, source, lang, topic], text, path)
+    of = token_counts(spread(of).select(key, text, source, lang, topic), [key, source, lang, topic], text, path)
     cell = F.when(F.col(topic).isin(*TOPICS), F.col(topic)).otherwise(F.lit("other"))
     place = F.xxhash64(F.col(key).cast("string"))
     out = of.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from albaran.llm import batches, canonical, language, mixing, names, tokens
-from albaran.session import cut, table
+from albaran.session import cut, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +46,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return tokens.encode(table(spark, d, "documents"), "doc_id", "text")
+    return tokens.encode(spread(table(spark, d, "documents")), "doc_id", "text")
 
 
 def p8_round_trip(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +66,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return language.segments(docs, language.train(docs))
+    return language.segments(spread(docs), language.train(docs))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
