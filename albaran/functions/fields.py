@@ -186,3 +186,36 @@ def specifications(c: Column) -> Column:
         return F.when(F.length(value) > 2, F.concat(F.lit(f"{w}: "), value))
 
     return F.array_join(F.slice(F.array_compact(F.array(*[one(w) for w in SPEC_WORDS])), 1, 3), " | ")
+
+
+# How an amount, a unit price and a quantity stand in a line; forms of item numbers.
+AMOUNT_IN_LINE = r"([£$€]?\s*[0-9]{1,3}(?:[.,][0-9]{3})*(?:[.,][0-9]{2})?)"
+UNIT_PRICE_IN_LINE = r"(?i)([£$€]?\s*[0-9]{1,3}(?:[.,][0-9]{3})*(?:[.,][0-9]{2})?)\s*(?:per|/|each|ea\b)"
+QUANTITY_IN_LINE = r"\b([0-9]+(?:[.,][0-9]+)?)\b"
+ITEM_IDS = [
+    r"(?:REF|ART|COD|CÓDIGO|ID|Artículo)[:\s-]+([A-Z0-9\-]{3,20})",
+    r"(?:SKU|EAN|UPC)[:\s-]+([A-Z0-9\-]{5,25})",
+    r"(\d{4}[-/]\d{4}[-/][A-Z0-9])",
+]
+
+
+def line_amounts(c: Column) -> dict[str, Column]:
+    """The first amount, unit price and quantity of a line as they are written; '' where there is none."""
+    return {
+        "amount": squash(F.regexp_extract(c, AMOUNT_IN_LINE, 1)),
+        "unit_price": squash(F.regexp_extract(c, UNIT_PRICE_IN_LINE, 1)),
+        "quantity": squash(F.regexp_extract(c, QUANTITY_IN_LINE, 1)),
+    }
+
+
+def item_id(c: Column) -> Column:
+    """The first item number by label, SKU or form; NULL where there is none."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(c, "(?iu)" + p, 1), F.lit("")) for p in ITEM_IDS])
+
+
+def header_block(c: Column, most: int = 8) -> Column:
+    """The first lines without titles; lines of two and more capital words before others; all if nothing is left."""
+    lines = F.slice(F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != ""), 1, most)
+    plain = F.filter(lines, lambda x: ~is_title(x))
+    caps = F.filter(plain, lambda x: (x == F.upper(x)) & (x != F.lower(x)) & (F.size(F.split(squash(x), " ")) >= 2))
+    return F.array_join(F.when(F.size(caps) > 0, caps).when(F.size(plain) > 0, plain).otherwise(lines), " ")

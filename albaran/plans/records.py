@@ -408,3 +408,23 @@ def stream_event_windows(spark: SparkSession, d: str) -> DataFrame:
 
     stream = E.read_files(spark, d, "events.parquet", table(spark, d, "events").schema)
     return E.run_to_end(E.window_counts(stream, "ts", "event_type", late="3650 days"), "events")
+
+
+@query("SELECT violation, count(*) AS n, count(DISTINCT rec_id) AS records FROM (" + " UNION ALL ".join(f"SELECT rec_id, '{n}' AS violation FROM extracted_procurement WHERE {c}" for n, c in _RULES.items()) + ") GROUP BY violation")
+def schema_violation_summary(spark: SparkSession, d: str) -> DataFrame:
+    return schema_violations(spark, d).groupBy("violation").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("rec_id").alias("records"))
+
+
+@query("SELECT rec_id, to_json(CASE WHEN error IS NULL THEN [] ELSE [error] END)::VARCHAR AS errors_json FROM extracted_procurement")
+def errors_as_json(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "extracted_procurement").select("rec_id", F.to_json(F.array_compact(F.array("error"))).alias("errors_json"))
+
+
+@query("SELECT document_type, count(*) AS records, avg(confidence_score) AS average_confidence, sum(coalesce(len(missing_fields), 0))::BIGINT AS missing, sum(coalesce(len(line_items), 0))::BIGINT AS items, count(*) FILTER (coalesce(error, '') <> '') AS with_error FROM extracted_procurement GROUP BY document_type")
+def display_summary(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "extracted_procurement")
+    size = lambda c: F.sum(F.when(F.col(c).isNotNull(), F.size(c)).otherwise(0))
+    return e.groupBy("document_type").agg(
+        F.count(F.lit(1)).alias("records"), F.avg("confidence_score").alias("average_confidence"), size("missing_fields").alias("missing"), size("line_items").alias("items"),
+        F.count_if(F.coalesce("error", F.lit("")) != "").alias("with_error"),
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from albaran.functions import fields as fx
 from albaran.functions import numparse as num
 from albaran.functions import text as tx
+from albaran.operators import candidates as C
 from albaran.operators import documents as D
 from albaran.operators import lines as L
 from albaran.plans import sqltext as S
@@ -387,3 +388,62 @@ def failure_examples(spark: SparkSession, d: str) -> DataFrame:
 def edge_case_rate(spark: SparkSession, d: str) -> DataFrame:
     m = marker_confidence(spark, d).where("category = 'edge'")
     return m.agg((F.try_divide(F.count_if(F.col("status") != "FAILED"), F.count(F.lit(1))) * 100).alias("rate"), F.count(F.lit(1)).alias("n"))
+
+
+#: The number between word boundaries of any script.
+_ALONE = r"(?:^|[^\p{L}\p{N}_])([0-9]+(?:[.,][0-9]+)?)(?:[^\p{L}\p{N}_]|$)"
+
+
+@query(
+    f"WITH {S.LINES} SELECT doc, line_no, {S.squash(S.group('line', fx.AMOUNT_IN_LINE))} AS amount, {S.squash(S.group('line', fx.UNIT_PRICE_IN_LINE))} AS unit_price, "
+    f"{S.squash(S.group('line', _ALONE))} AS quantity FROM lines"
+)
+def line_amounts(spark: SparkSession, d: str) -> DataFrame:
+    got = fx.line_amounts(F.col("line"))
+    return L.text_lines(_docs(spark, d), "doc_id", "text").select("doc", "line_no", *[c.alias(n) for n, c in got.items()])
+
+
+@query(f"WITH {S.LINES} SELECT doc, line_no, coalesce({', '.join(f'''nullif({S.group('line', '(?i)' + p)}, '')''' for p in fx.ITEM_IDS)}) AS item_id FROM lines")
+def item_ids(spark: SparkSession, d: str) -> DataFrame:
+    return L.text_lines(_docs(spark, d), "doc_id", "text").select("doc", "line_no", fx.item_id(F.col("line")).alias("item_id"))
+
+
+_TITLE = f"({S.has('upper(x)', fx.TITLE_PHRASES)} OR (x = upper(x) AND x <> lower(x) AND {S.words('x')} <= 6 AND {S.has('upper(x)', fx.TITLE_WORDS)}))"
+_HB = f"""hb AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '')[1:8] ls FROM documents WHERE text IS NOT NULL),
+hp AS (SELECT doc_id, ls, list_filter(ls, lambda x: NOT {_TITLE}) p FROM hb), hc AS (SELECT *, list_filter(p, lambda x: x = upper(x) AND x <> lower(x) AND {S.words('x')} >= 2) c FROM hp)"""
+
+
+@query(f"WITH {_HB} SELECT doc_id, array_to_string(CASE WHEN len(c) > 0 THEN c WHEN len(p) > 0 THEN p ELSE ls END, ' ') AS header FROM hc")
+def header_block(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).where("text is not null").select("doc_id", fx.header_block(F.col("text")).alias("header"))
+
+
+@query()
+def best_readings(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's text and a spoiled copy as two readings; the better one by its score."""
+    docs = C.degrade(_docs(spark, d).where("text is not null").select("doc_id", "text"), "doc_id", "text")
+    both = F.explode(F.array(F.struct(F.lit(0).alias("ord"), F.lit("raw").alias("method"), F.col("degraded").alias("text")), F.struct(F.lit(1).alias("ord"), F.lit("enhanced").alias("method"), F.col("text"))))
+    r = docs.select(F.col("doc_id").cast("string").alias("document_name"), F.lit(1).alias("page"), both.alias("x")).select("document_name", "page", "x.*")
+    return C.best_readings(r)
+
+
+@query()
+def generated_invoices(spark: SparkSession, d: str) -> DataFrame:
+    """Invoices made from row numbers, as many as there are documents, through the marker check."""
+    n = _docs(spark, d).count()
+    return D.marker_confidence(C.invoices(spark, n))
+
+
+@query(
+    f"""WITH {S.LINES}, {_complete_sql()}, w AS (SELECT * FROM whole WHERE id IS NOT NULL) SELECT doc, line_no, list_filter([CASE WHEN id = '' THEN 'Missing item ID' END, CASE WHEN length(description) < 3 THEN 'Invalid description' END,
+    CASE WHEN coalesce(quantity, 0) <= 0 THEN 'Invalid quantity' END, CASE WHEN unit = '' THEN 'Missing unit' END], lambda x: x IS NOT NULL) AS issues FROM w"""
+)
+def item_validity(spark: SparkSession, d: str) -> DataFrame:
+    return C.item_issues(spanish_lines(spark, d)).select("doc", "line_no", "issues")
+
+
+@query(f"SELECT CASE WHEN procurement > specification THEN 'procurement' WHEN specification > procurement THEN 'specification' ELSE 'tie' END AS route, count(*) AS n, max(procurement) AS best FROM ({_route_sql()}) GROUP BY 1")
+def route_summary(spark: SparkSession, d: str) -> DataFrame:
+    """How many texts score higher as one or the other kind."""
+    p, s = F.col("procurement"), F.col("specification")
+    return route_text_only(spark, d).groupBy(F.when(p > s, "procurement").when(s > p, "specification").otherwise("tie").alias("route")).agg(F.count(F.lit(1)).alias("n"), F.max("procurement").alias("best"))
