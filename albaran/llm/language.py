@@ -42,6 +42,8 @@ NO_LABEL = frozenset(("", "und", "mul", "xx", "zxx", "mis", "unknown", "?", "n/a
 
 BLANK = re.compile(r"(?:\r?\n|\r)[^\S\r\n]*(?:\r?\n|\r)\s*")
 WORD = re.compile(r"[^\W\d_]{2,}")
+LINE = re.compile(r"\r\n|\n|\r")
+CELL = re.compile(r"\s\|\s")
 
 
 def label_code(label: str | None) -> str | None:
@@ -61,7 +63,7 @@ def paragraphs(text: str) -> list[str]:
 
 def sentences_of(paragraph: str, words: int = 7) -> str:
     """The lines of a paragraph that hold a sentence: enough words, no table row."""
-    return "\n".join(line for line in paragraph.splitlines() if line.count("|") < 2 and len(WORD.findall(line)) >= words)
+    return "\n".join(line for line in LINE.split(paragraph) if len(CELL.findall(line)) < 2 and len(WORD.findall(line)) >= words)
 
 
 def windows(text: str) -> np.ndarray:
