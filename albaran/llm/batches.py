@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from albaran.functions import timestamps as ts
 from albaran.llm.names import conflict, parse, similarity
-from albaran.session import cut, settle
+from albaran.session import checkpoint_folder, cut, settle
 
 
 def amount_cents(c: Column) -> Column:
@@ -147,6 +147,26 @@ def pairs_of(records: DataFrame, sites: DataFrame) -> DataFrame:
     return across.union(same).select(F.least("x", "y").alias("rec_a"), F.greatest("x", "y").alias("rec_b")).where("rec_a < rec_b").distinct()
 
 
+def pairs_by_batches(records: DataFrame, sites: DataFrame, load: str = "load_id", batches: int = 3) -> DataFrame:
+    """The pairs of pairs_of, found batch by batch: the loads in `batches` ranges of their numbers, in order.
+
+    Every batch is compared with the persisted runs of the batches before it and with itself, and then accepted. Rows
+    without a load number come first. The runs are removed afterwards; the pairs are in the checkpoint folder.
+    """
+    import uuid
+
+    spark = records.sparkSession
+    low, high = records.agg(F.min(load), F.max(load)).first()
+    n = F.lit(0) if low is None or low == high else F.least(F.lit(batches - 1), F.floor((F.coalesce(F.col(load), F.lit(low)) - low) * batches / (high - low + 1)))
+    store = RunStore(spark, f"{checkpoint_folder(spark)}/runs-{uuid.uuid4().hex}")
+    out = None
+    for i in range(batches if low is not None and low != high else 1):
+        found = store.add(records.where(n == i), sites)
+        out = found if out is None else out.unionByName(found)
+    store.remove()
+    return out
+
+
 class RunStore:
     """Persisted runs in a shared folder: Parquet, one directory for each run, split by key range.
 
@@ -212,6 +232,11 @@ class RunStore:
             self.compact()
         return out
 
+    def remove(self) -> None:
+        """All runs away."""
+        fs, path = self._fs()
+        fs.delete(path, True)
+
     def compact(self) -> None:
         """All runs into one; the old ones are removed after the new one is whole."""
         runs = self.runs()

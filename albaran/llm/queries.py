@@ -42,7 +42,7 @@ def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return batches.pairs_of(table(spark, d, "extracted_procurement"), table(spark, d, "sites"))
+    return batches.pairs_by_batches(table(spark, d, "extracted_procurement"), table(spark, d, "sites"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

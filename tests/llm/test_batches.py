@@ -63,6 +63,14 @@ def test_runs_give_the_same_pairs_batch_by_batch(spark, tables, tmp_path):
     assert len(store.runs()) <= 2
 
 
+def test_loads_in_order_give_the_same_pairs(tables):
+    rows, sites = tables
+    loads = rows.withColumn("load_id", F.when(F.col("rec_id") < 12, (F.col("rec_id") % 5).cast("int")))
+    for n in (1, 2, 3):
+        assert {tuple(r) for r in B.pairs_by_batches(loads, sites, batches=n).collect()} == brute(tables)
+    assert B.pairs_by_batches(loads.limit(0), sites).count() == 0
+
+
 def test_empty(tables):
     rows, sites = tables
     assert B.pairs_of(rows.limit(0), sites).count() == 0
