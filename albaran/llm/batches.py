@@ -16,6 +16,7 @@ the same; records delivered repeatedly under other ids are pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from albaran.functions import timestamps as ts
 from albaran.llm.names import conflict, parse, similarity
-from albaran.session import checkpoint_folder, cut, settle
+from albaran.session import checkpoint_folder, cut, settle, ship
 
 
 def amount_cents(c: Column) -> Column:
@@ -94,8 +95,10 @@ def same_document(a: tuple, b: tuple, least: float = 0.8) -> bool:
     if ca != cb:
         if ca % 100 and cb % 100 or abs(ca - cb) > 50:
             return False
-    if na and nb and na != nb or da and db and da != db:
+    if na and nb and na != nb:
         return False
+    if da and db and da != db and not (na and nb and abs((date.fromisoformat(da) - date.fromisoformat(db)).days) <= 1):
+        return False  # a day apart is a time near midnight, if the numbers are equal
     if not (na and nb) and not (da and db):
         return False
     if sa == sb:
@@ -119,6 +122,7 @@ def writings(df: DataFrame) -> DataFrame:
 
 def windows(new: DataFrame, all_: DataFrame) -> DataFrame:
     """Pairs (a_w, b_w) of different writings within the windows of equal key around the new ones."""
+    ship(new.sparkSession)
     side = lambda df, p: df.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("w", "supplier", "number", "day", "cents")])
     # each key row once for each distinct writing: copies were folded before
     pairs = side(new, "a").join(side(all_, "b"), "key").where("a_w <> b_w")

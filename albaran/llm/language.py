@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from albaran.functions.lookup import lookup
+from albaran.session import ship
 
 LANGS = ("en", "es", "pt", "fr", "de", "it", "nl")
 SAMPLE = 6000
@@ -221,6 +222,7 @@ def segments(docs: DataFrame, net: ByteCnn, key: str = "doc_id", text: str = "te
     A paragraph that the network is less sure of than `sure` doesn't make a text a mixed one. One pass, no shuffle;
     the network (some 100 KB, whatever the corpus) goes out with the task.
     """
+    ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from albaran.llm.graph import components
-from albaran.session import cut
+from albaran.session import cut, ship
 
 # Legal forms, written without points and accents.
 LEGAL = """
@@ -424,6 +424,7 @@ def candidates(names: DataFrame, common: int = 60) -> DataFrame:
     An index key that more than `common` names share is refined with the other fields; a refined block that is still
     as large is compared whole: no name and no pair is dropped.
     """
+    ship(names.sparkSession)
     # One name gives few keys; the sizes come from a map-side combined count.
     keyed = cut(names.mapInPandas(_keys_udf, "name string, key string, refined string"))
     size = keyed.groupBy("key").agg(F.count_distinct("name").alias("size"))

@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from albaran.session import ship
+
 # Fixed value: the split pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -201,6 +203,7 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes]) -> Iterator[str]:
 
 def _shared(df: DataFrame, path: str):
     """The vocabulary for the executors: a file of fixed size (under 1 MB), read once on the driver."""
+    ship(df.sparkSession)
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
