@@ -3,13 +3,36 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """The package to the Python workers of all executors, once for each application: they need not have it installed.
+
+    Spark serves the archive to executors that come later, too.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="albaran-code-")) / "albaran.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path("albaran") / f.relative_to(root))
+    sc.addPyFile(str(to))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

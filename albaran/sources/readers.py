@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from albaran.session import ship
+
 RAW_ITEMS = "pdf_name string, item_id string, original_description string, quantity double, unit string, technical_specifications string"
 NORMAL = (
     "document_name string, supplier_name string, item_description string, quantity double, unit_price double, total_price double, currency string, delivery_date string, "
@@ -52,6 +54,7 @@ def document_pages(files: DataFrame, reader: PageReader) -> DataFrame:
                     rows = [(name, 0, None, f"{type(e).__name__}: {e}"[:500])]
                 yield pd.DataFrame(rows, columns=["document_name", "page", "text", "error"])
 
+    ship(files.sparkSession)
     return files.select("document_name", "content").mapInPandas(run, PAGES)
 
 
