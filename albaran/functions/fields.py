@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from albaran.functions.numparse import parse_decimal_legacy
-from albaran.functions.text import squash, strip
+from albaran.functions.text import spaced, squash, strip
 
 _NAME = r"[A-Za-záéíóúñüAÉÍÓÚÑÜ\s,.&]"
 # Patterns of the labelled fields, in the order in which they are tried.
@@ -28,6 +28,7 @@ FIELD_PATTERNS = {
     "quantity": [r"(?:Qty|Quantity|Cantidad)[:\s]*([\d,.]+)", r"([\d,.]+)(?:\s*(?:u|un|pcs|kg|m))"],
     "tax": [r"(?:Tax|VAT|IVA|Impuesto)[:\s]*\$?[\s]*([\d,.]+)"],
 }
+FIELD_PATTERNS = {k: [spaced(p) for p in v] for k, v in FIELD_PATTERNS.items()}
 PRICE = r"(?:[$€£]|USD|EUR|GBP|MXN|COP|ARS|CAD|AUD)?\s*([0-9]{1,3}(?:[.,][0-9]{3})*(?:[.,][0-9]{1,2})?)"
 LABELLED_AMOUNTS = {
     "subtotal": r"(?:Subtotal|Sub-total|Sub Total)[:\s]*[$€£]?\s*([\d,.]+)",
@@ -79,7 +80,7 @@ TITLE_WORDS = "TERMS|REFERENCIA|SCOPE|REQUEST|BID|TENDER|STATEMENT|INSTRUCTIONS|
 SPEC_WORDS = "especificación característica dimensión material voltaje capacidad potencia marca modelo color grosor peso rendimiento altura ancho profundidad diámetro".split()
 
 
-def first_of(c: Column, patterns: list[str], flags: str = "(?im)", low: int = 2, high: int = 200) -> Column:
+def first_of(c: Column, patterns: list[str], flags: str = "(?imd)", low: int = 2, high: int = 200) -> Column:
     """The first pattern's first match whose stripped value has a length in the range; NULL where there is none."""
     found = [strip(F.regexp_extract(c, flags + p, 1)) for p in patterns]
     return F.coalesce(*[F.when(F.length(v).between(low, high), v) for v in found])

@@ -11,6 +11,24 @@ SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 KEYWORDS = "INVOICE|FACTURA|TOTAL|SUBTOTAL|IVA|TAX|PROVEEDOR|SUPPLIER|FECHA|DATE|CANTIDAD|QUANTITY|MONEDA|CURRENCY"
 
 
+def spaced(pattern: str) -> str:
+    r"""The pattern with \x0b in every \s: Java's \s has it, RE2's has not."""
+    out, inside, i = "", False, 0
+    while i < len(pattern):
+        two = pattern[i : i + 2]
+        if two == r"\s":
+            out += r"\s\x0b" if inside else r"[\s\x0b]"
+        elif two[0] == "\\":
+            out += two
+        else:
+            inside = True if two[0] == "[" else False if two[0] == "]" else inside
+            out += two[0]
+            i += 1
+            continue
+        i += 2
+    return out
+
+
 def strip(c: Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from albaran.functions.numparse import comma_to_dot
-from albaran.functions.text import squash, strip
+from albaran.functions.text import spaced, squash, strip
 
 # Lines with one of these are no items.
 SKIP = "PAGE|INVOICE|FACTURA|DATE:|FECHA:|---|SUBTOTAL|TOTAL|TAX|IVA|PROVEEDOR|SUPPLIER"
@@ -32,7 +32,9 @@ SPANISH_LINES = [
     rf"^(\d{{1,5}})\s+({WORDS}{{5,100}}?)\s+(\d+(?:[.,]\d+)?)\s+({UNITS})$",
     rf"(?:REF|ART|COD)[:\s-]+([A-Z0-9\-]+)\s+({WORDS}+?)\s+(\d+(?:[.,]\d+)?)\s+({UNITS})",
 ]
+SPANISH_LINES = [spaced(p) for p in SPANISH_LINES]
 SECTION = rf"(\d{{1,4}})\s+({WORDS}{{10,200}}?)\s+(\d+(?:[.,]\d+)?)\s+({SECTION_UNITS})"
+SECTION = spaced(SECTION)
 
 
 def text_lines(df: DataFrame, key: str, text: str) -> DataFrame:

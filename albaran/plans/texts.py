@@ -408,9 +408,9 @@ def item_ids(spark: SparkSession, d: str) -> DataFrame:
     return L.text_lines(_docs(spark, d), "doc_id", "text").select("doc", "line_no", fx.item_id(F.col("line")).alias("item_id"))
 
 
-_TITLE = f"({S.has('upper(x)', fx.TITLE_PHRASES)} OR (x = upper(x) AND x <> lower(x) AND {S.words('x')} <= 6 AND {S.has('upper(x)', fx.TITLE_WORDS)}))"
+_TITLE = f"({S.has('upper(x)', fx.TITLE_PHRASES)} OR (x = upper(x) AND x <> lower(x) AND NOT {S.has('x', r'[\p{Ll}]')} AND {S.words('x')} <= 6 AND {S.has('upper(x)', fx.TITLE_WORDS)}))"
 _HB = f"""hb AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '')[1:8] ls FROM documents WHERE text IS NOT NULL),
-hp AS (SELECT doc_id, ls, list_filter(ls, lambda x: NOT {_TITLE}) p FROM hb), hc AS (SELECT *, list_filter(p, lambda x: x = upper(x) AND x <> lower(x) AND {S.words('x')} >= 2) c FROM hp)"""
+hp AS (SELECT doc_id, ls, list_filter(ls, lambda x: NOT {_TITLE}) p FROM hb), hc AS (SELECT *, list_filter(p, lambda x: x = upper(x) AND x <> lower(x) AND NOT {S.has('x', r'[\p{Ll}]')} AND {S.words('x')} >= 2) c FROM hp)"""
 
 
 @query(f"WITH {_HB} SELECT doc_id, array_to_string(CASE WHEN len(c) > 0 THEN c WHEN len(p) > 0 THEN p ELSE ls END, ' ') AS header FROM hc")
