@@ -61,7 +61,7 @@ def _local_day(rows: DataFrame, value: str, sites: DataFrame, site: str) -> Data
     for step in ts.stages(value, "_ts_tz", "_ts_order", (1990, 2100), "_ts_out"):
         df = df.withColumns(step)
     at_site = F.from_utc_timestamp(F.timestamp_seconds(F.col("_ts_at")), F.coalesce(F.col("_ts_tz"), F.lit("UTC")))
-    shifted = F.date_format(at_site, "yyyy-MM-dd")
+    shifted = F.date_from_unix_date(F.floor(F.unix_seconds(at_site) / 86400).cast("int")).cast("string")
     wall = F.date_from_unix_date(F.col("_ts_day").cast("int")).cast("string")
     moved = (F.col("_ts_epoch").isNotNull() | F.col("_ts_off").isNotNull() | F.col("_ts_zone").isNotNull()) & F.col("_ts_tz").isNotNull()
     day = F.when(moved, shifted).otherwise(F.coalesce(wall, F.date_from_unix_date(F.col("_ts_date")).cast("string"), shifted))
