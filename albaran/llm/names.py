@@ -386,6 +386,7 @@ def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str
         tail = t[-shortest:] if len(t) >= shortest else t
         out.append((f"s:{tail}", f"s:{tail}|{field[:1]}|{'t' if n.trade else 'g'}{t[:1]}"))
         out.append((f"s:{tail}", f"s:{tail}|{field}"))
+        out.append((f"s:{tail}", f"s:{tail}|*{t[:2]}"))  # for names whose other fields can't be read
         out.append((f"f:{field}", f"f:{field}|{t[: head - 1]}"))
         out.append((f"f:{field}", f"f:{field[:1]}|{t[:head]}"))
     if len(n.core) > 1:
