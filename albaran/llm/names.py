@@ -3,7 +3,8 @@
 Suffix blocking: the token suffixes of a fixed minimum length are the index. A suffix (or a trade or given name) that
 too many names share is not discarded but refined with the other fields of the name. Pairs of a block are compared by
 the longest-common-subsequence ratio of their tokens. Spellings whose tokens are all written out are joined into
-classes first; spellings with initials or a missing family name then join the class they fit, if it is one only.
+classes first; spellings with initials or a missing family name then join the class they fit, if at least three quarters of the
+written-out spellings they fit are of one class.
 
 Defined results: NULL, empty and blank names, and names without a readable token, are in no pair; repeated names count
 once; the pair order is by code points.
@@ -448,12 +449,13 @@ def variant_classes(names: DataFrame, least: float = 0.8, common: int = 60) -> D
     )
     strong = components(scored.where(~F.col("weak")).select(F.col("name_a").alias("src"), F.col("name_b").alias("dst")))
     strong = strong.select(F.col("node").alias("name"), F.col("component").alias("cls"))
-    # Spellings that are not written out: to the class of the written-out names they fit, if these are one class.
+    # Spellings that are not written out: to the class of the written-out names they fit.
     half = scored.where("weak").select(F.col("name_a").alias("w"), F.col("name_b").alias("o"), F.col("weak_a").alias("ww"), F.col("weak_b").alias("ow"))
     both = half.union(half.select(F.col("o"), F.col("w"), F.col("ow"), F.col("ww"))).where("ww").distinct()
     known = both.where(~F.col("ow")).join(strong.withColumnRenamed("name", "o"), "o", "left").select("w", F.coalesce("cls", "o").alias("cls"))
-    fits = known.groupBy("w").agg(F.min("cls").alias("cls"), F.max("cls").alias("last"))
-    joined = fits.where("cls = last").select(F.col("w").alias("name"), "cls")
+    votes = known.groupBy("w", "cls").agg(F.count(F.lit(1)).alias("n"))
+    fits = votes.groupBy("w").agg(F.max_by("cls", F.struct("n", "cls")).alias("cls"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    joined = fits.where("most >= 0.75 * all").select(F.col("w").alias("name"), "cls")
     # Two spellings that are both not written out and fit no written-out name are linked with each other.
     free = both.where("ow").join(fits.select("w"), "w", "left_anti").join(fits.select(F.col("w").alias("o")), "o", "left_anti")
     alone = components(free.select(F.col("w").alias("src"), F.col("o").alias("dst"))).select(F.col("node").alias("name"), F.col("component").alias("cls"))
