@@ -178,12 +178,12 @@ def document_type(c: Column) -> Column:
     return F.coalesce(*[F.when(low.rlike(p), F.lit(kind)) for kind, p in DOCUMENT_TYPES], F.lit("unknown"))
 
 
-def specifications(c: Column) -> Column:
-    """Up to three `word: value` of the first 500 characters, joined; '' where there are none."""
-    head = F.substring(c, 1, 500)
+def specifications(c: Column, start: int | Column = 1) -> Column:
+    """Up to three `word: value` of the 500 characters from a place on, joined; '' where there are none."""
+    part = F.substring(c, start, 500)
 
     def one(w: str) -> Column:
-        value = F.substring(strip(F.regexp_extract(head, rf"(?iu){w}[:\s\x0b]+([^\n.]+)", 1)), 1, 80)
+        value = F.substring(strip(F.regexp_extract(part, rf"(?iu){w}[:\s\x0b]+([^\n.]+)", 1)), 1, 80)
         return F.when(F.length(value) > 2, F.concat(F.lit(f"{w}: "), value))
 
     return F.array_join(F.slice(F.array_compact(F.array(*[one(w) for w in SPEC_WORDS])), 1, 3), " | ")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from albaran.functions.fields import specifications
 from albaran.functions.numparse import comma_to_dot
 from albaran.functions.text import spaced, squash, strip
+from albaran.session import settle
 
 # Lines with one of these are no items.
 SKIP = "PAGE|INVOICE|FACTURA|DATE:|FECHA:|---|SUBTOTAL|TOTAL|TAX|IVA|PROVEEDOR|SUPPLIER"
@@ -117,6 +119,20 @@ def item_sections(df: DataFrame, key: str, text: str) -> DataFrame:
     return out.where(F.length("description") > 8)
 
 
+def item_specifications(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc, item_no, item_id, description, specs): of each item of item_sections the keywords in 500 characters from its place.
+
+    The place is the description's first one in the text. A description that white space interrupts has none there; the
+    reference reads nothing then, here it is the place of the description as it is written.
+    """
+    parts = [F.regexp_extract_all(F.col(text), F.lit("(?iu)" + SECTION), F.lit(g)) for g in (1, 2)]
+    each = df.select(F.col(key).alias("doc"), F.col(text).alias("_text"), F.posexplode(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, ("a", "b"))])).alias("item_no", "m"))
+    out = each.select("doc", "item_no", F.col("m.a").alias("item_id"), squash(F.col("m.b")).alias("description"), "_text", strip(F.col("m.b")).alias("_raw"))
+    place = F.coalesce(*[F.nullif(F.position(F.col(c), F.col("_text")), F.lit(0)) for c in ("description", "_raw")])
+    out = settle(out.withColumn("_part", F.substring("_text", place, 500)).drop("_text", "_raw"), "description", "_part")
+    return out.where(F.length("description") > 8).select("doc", "item_no", "item_id", "description", specifications(F.col("_part")).alias("specs"))
+
+
 def unseen_items(texts: DataFrame, tables: DataFrame) -> DataFrame:
     """Items of texts (doc, line_no, description, ...) whose description no table item of the document has; first ones only."""
     fresh = texts.join(tables.select("doc", "description").distinct(), ["doc", "description"], "left_anti")

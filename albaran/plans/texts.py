@@ -225,17 +225,29 @@ def item_sections(spark: SparkSession, d: str) -> DataFrame:
     return L.item_sections(_docs(spark, d), "doc_id", "text")
 
 
-def _spec_sql() -> str:
+def _spec_sql(part: str = "substring(text, 1, 500)") -> str:
     one = lambda w: f"CASE WHEN length({_v(w)}) > 2 THEN '{w}: ' || {_v(w)} END"
-    _v = lambda w: f"substring({S.strip(S.group('substring(text, 1, 500)', f'(?i){w}[:\\s\\x0b]+([^\\n.]+)'))}, 1, 80)"
+    _v = lambda w: f"substring({S.strip(S.group(part, f'(?i){w}[:\\s\\x0b]+([^\\n.]+)'))}, 1, 80)"
     return f"array_to_string(list_filter([{', '.join(one(w) for w in fx.SPEC_WORDS)}], lambda x: x IS NOT NULL)[1:3], ' | ')"
 
 
 @query(f"SELECT doc_id, {_spec_sql()} AS specs FROM documents WHERE text IS NOT NULL")
 def spec_keywords(spark: SparkSession, d: str) -> DataFrame:
+    """Of the first 500 characters of a text; spec_keywords_items has the windows at the items."""
     return _docs(spark, d).where("text is not null").select("doc_id", fx.specifications(F.col("text")).alias("specs"))
 
 
+@query(
+    f"""WITH s AS (SELECT doc_id doc, text, {S.every('text', '(?i)' + L.SECTION, 1)} a, {S.every('text', '(?i)' + L.SECTION, 2)} b FROM documents),
+    e AS (SELECT doc, text, generate_subscripts(a, 1) i, a, b FROM s), o AS (SELECT doc, text, i - 1 item_no, a[i] item_id, {S.squash('b[i]')} description, {S.strip('b[i]')} raw FROM e),
+    w AS (SELECT *, substring(text, coalesce(nullif(strpos(text, description), 0), strpos(text, raw)), 500) part FROM o)
+    SELECT doc, item_no, item_id, description, {_spec_sql('part')} AS specs FROM w WHERE length(description) > 8"""
+)
+def spec_keywords_items(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each item of the texts, with the keywords near it wherever in the text it stands."""
+    return L.item_specifications(_docs(spark, d), "doc_id", "text")
+
+
 @query("SELECT doc_id, coalesce(" + ", ".join(f"nullif({S.group('upper(text)', p)}, '')" for p in fx.STRICT_NUMBERS) + ", '') AS number FROM documents")
 def invoice_number_strict(spark: SparkSession, d: str) -> DataFrame:
     return _docs(spark, d).select("doc_id", fx.strict_number(F.col("text")).alias("number"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from albaran.functions import fields as fx
 from albaran.operators import candidates as C
 from albaran.operators import documents as D
+from albaran.operators import lines as L
 
 
 def test_best_readings(spark):
@@ -40,3 +41,12 @@ def test_item_issues(spark):
     rows = spark.createDataFrame([("1", "bolt", 2.0, "u"), (None, "x", 0.0, ""), ("", None, None, None)], "id string, description string, quantity double, unit string")
     assert [r.is_valid for r in C.item_issues(rows).collect()] == [True, False, False]
     assert len(C.item_issues(rows).collect()[2].issues) == 4
+
+
+def test_specifications_of_each_item_wherever_it_stands(spark):
+    far = "n. " * 400
+    text = f"1 steel pipe long 5 kg\nmaterial: iron\n{far}\n2 garden  hose\ngreen 7 m\ncolor: verde claro. marca: Acme\n{far}\n3 copper wire coil 2 kg\n{far}\nmodelo: too far"
+    rows = L.item_specifications(spark.createDataFrame([(1, text), (2, None), (3, "")], "k long, t string"), "k", "t").collect()
+    assert [(r.doc, r.item_no, r.description, r.specs) for r in sorted(rows, key=lambda r: r.item_no)] == [
+        (1, 0, "steel pipe long", "material: iron"), (1, 1, "garden hose green", "marca: Acme | color: verde claro"), (1, 2, "copper wire coil", "")
+    ]
