@@ -50,11 +50,11 @@ def _first(c: Column, patterns: list[str]) -> Column:
     return F.coalesce(*[F.nullif(F.translate(F.regexp_extract(c, p, 1), ",", "."), F.lit("")) for p in patterns])
 
 
-def line_items(df: DataFrame, key: str, text: str, most: int = 20) -> DataFrame:
+def line_items(df: DataFrame, key: str, text: str, most: int | None = 20, width: int | None = 150) -> DataFrame:
     """(doc, line_no, description, quantity, unit_price, total_price), texts; '' where a value is missing.
 
-    Of equal descriptions (whatever case) the first stays, of each document the first `most` lines, as the operator
-    is defined. Documents without items give no row.
+    Of equal descriptions (whatever case) the first stays, of each document the first `most` lines, of a description
+    the first `width` characters, as the operator is defined; None for all. Documents without items give no row.
     """
     lines = text_lines(df, key, text).where((F.length("line") >= 12) & ~F.upper("line").rlike(SKIP))
     line, cols = F.col("line"), F.col("cols")
@@ -78,12 +78,15 @@ def line_items(df: DataFrame, key: str, text: str, most: int = 20) -> DataFrame:
     way = F.when(F.coalesce(one, F.lit(False)), 1).when(F.coalesce(two, F.lit(False)), 2)
     value = lambda a, b: F.coalesce(F.when(F.col("way") == 1, F.col(a)).otherwise(F.col(b)), F.lit(""))
     got = lines.withColumn("way", way).where("way is not null")
+    whole = F.when(F.col("way") == 1, F.col("d1")).otherwise(line)
     got = got.select(
-        "doc", "line_no", F.substring(F.when(F.col("way") == 1, F.col("d1")).otherwise(line), 1, 150).alias("description"),
+        "doc", "line_no", (whole if width is None else F.substring(whole, 1, width)).alias("description"),
         value("q1", "q2").alias("quantity"), value("p1", "p2").alias("unit_price"), value("t1", "t2").alias("total_price"),
     )
     seen = Window.partitionBy("doc", F.lower("description")).orderBy("line_no")
     first = got.withColumn("n", F.row_number().over(seen)).where("n = 1")
+    if most is None:
+        return first.drop("n")
     return first.withColumn("n", F.row_number().over(Window.partitionBy("doc").orderBy("line_no"))).where(F.col("n") <= most).drop("n")
 
 

@@ -193,9 +193,16 @@ f AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY line_no) m FROM u W
 
 @query(_ITEMS + "SELECT doc, line_no, description, quantity, unit_price, total_price FROM f WHERE m <= 20")
 def line_items(spark: SparkSession, d: str) -> DataFrame:
+    """The first 20 of each document, as the reference has them; line_items_all has the others, too."""
     return L.line_items(_docs(spark, d), "doc_id", "text")
 
 
+@query(_ITEMS.replace("substring(CASE WHEN way = 1 THEN d1 ELSE line END, 1, 150)", "CASE WHEN way = 1 THEN d1 ELSE line END") + "SELECT doc, line_no, description, quantity, unit_price, total_price FROM u WHERE n = 1")
+def line_items_all(spark: SparkSession, d: str) -> DataFrame:
+    """All items with their whole descriptions."""
+    return L.line_items(_docs(spark, d), "doc_id", "text", most=None, width=None)
+
+
 @query(f"WITH {S.LINES} SELECT doc, line_no, line FROM lines WHERE {S.has('lower(line)', L.CANDIDATE)} OR ({S.has('line', L.NUMBER_LIKE)} AND length(line) > 20)")
 def candidate_lines(spark: SparkSession, d: str) -> DataFrame:
     return L.candidate_lines(_docs(spark, d), "doc_id", "text")

@@ -50,3 +50,12 @@ def test_specifications_of_each_item_wherever_it_stands(spark):
     assert [(r.doc, r.item_no, r.description, r.specs) for r in sorted(rows, key=lambda r: r.item_no)] == [
         (1, 0, "steel pipe long", "material: iron"), (1, 1, "garden hose green", "marca: Acme | color: verde claro"), (1, 2, "copper wire coil", "")
     ]
+
+
+def test_all_line_items_of_a_long_invoice(spark):
+    long = "steel pipe " * 15
+    text = "\n".join([f"copper wire coil no {i} Qty: {i}" for i in range(11, 41)] + [f"{long} A Qty: 22", f"{long} B Qty: 33"])
+    df = spark.createDataFrame([(1, text)], "k long, t string")
+    assert L.line_items(df, "k", "t").count() == 20
+    got = L.line_items(df, "k", "t", most=None, width=None).orderBy("line_no").collect()
+    assert [r.line_no for r in got] == list(range(32)) and got[-1].description.endswith("B Qty: 33")
