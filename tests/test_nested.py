@@ -71,3 +71,30 @@ def test_hash_depends_on_content_and_order_but_not_on_map_order(spark):
 def test_empty_table(spark):
     empty = rows(spark).limit(0)
     assert nested.found(nested.bridge(empty, "validated", "val_id", nested.VALIDATED)).count() == 0
+
+
+def test_every_parent_identity_has_an_object(spark):
+    for kind, key, children in (("validated", "val_id", nested.VALIDATED), ("extracted", "val_id", nested.EXTRACTED)):
+        b = nested.bridge(rows(spark), kind, key, children, with_payload=True, containers=True)
+        own = {r.child_hash for r in nested.objects(b).collect()}
+        got = b.collect()
+        assert {r.parent_hash for r in got if r.parent_hash} <= own
+        assert sorted(r.row_id for r in got if r.child == "record") == [1, 1, 2, 3, 4] and all(r.parent_hash is None for r in got if r.child == "record")
+        plain = nested.found(nested.bridge(rows(spark), kind, key, children))
+        inner = {c.kind for c in children}
+        assert sorted(map(tuple, plain.collect())) == sorted((r.src, r.row_id, r.child, r.pos, r.parent) for r in got if r.child in inner and r.child_hash)
+    # equal subtrees are one object, and a change below reaches the root
+    r = {(x.row_id, x.child): x.child_hash for x in b.collect()}
+    assert r[(1, "line_items")] != r[(4, "line_items")] and r[(1, "record")] != r[(4, "record")]
+
+
+def test_cost_grows_with_the_length(spark):
+    import time
+
+    took = []
+    for n in (100, 100, 400, 1600):
+        one = spark.range(8).selectExpr("id as val_id", f"transform(sequence(1, {n}), i -> named_struct('a', concat(id, ':', i), 'b', '1')) as line_items")
+        began = time.perf_counter()
+        assert nested.found(nested.bridge(one, "x", "val_id", nested.EXTRACTED)).where("pos <> '0'").count() == 8 * n
+        took.append(time.perf_counter() - began)
+    assert took[3] < 10 * max(took[1], 0.3)
