@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from albaran.functions.lookup import lookup
 from albaran.llm.language import LABEL_OF
-from albaran.llm.tokens import VOCABULARY, token_counts
+from albaran.llm.tokens import token_counts
 from albaran.session import cut, spread
 
 TOPICS = ("clean", "scanned", "specification", "edge")
@@ -95,7 +95,7 @@ def plan_mix(cells: list[tuple[str, str, str, int]], targets: list[tuple[str, fl
     return Plan(sources, share, repeats, langs, topics, tokens, w, size)
 
 
-def sized(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str, lang: str, topic: str, path: str) -> DataFrame:
+def sized(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str, lang: str, topic: str, path: str | None) -> DataFrame:
     """(key, source, lang, topic, tokens, bin) of the documents of the target sources, cut by a checkpoint."""
     wanted = [r[0] for r in targets.select("source").collect()]  # a fixed table
     of = docs.where(F.col(source).isin(wanted))
@@ -111,7 +111,7 @@ def sized(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str,
 
 def mix(
     docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: str = "category",
-    path: str = VOCABULARY, total: float | None = None,
+    path: str | None = None, total: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(the mix: doc_id, source, lang, topic, tokens, copies; the report by source: targets and what was reached)."""
     spark = docs.sparkSession

@@ -1,12 +1,16 @@
 """Byte-level BPE encoding by a lazily determinised transducer, and streaming decode by a UTF-8 state machine.
 
 The merge table is compiled into a deterministic transducer over the bytes of a piece (a piece is one match of the
-tokenizer's split pattern). Its states are created on first use. A state knows the last token of the encoding of the
-bytes read so far and the state before that token; which token ends a prefix is decided by the rule that a token
-sequence is the BPE encoding exactly if every two neighbours are (Berglund, van der Merwe: "Formalizing BPE
-tokenization"; neighbours are checked with the merge table and remembered). The end of the piece is the bounded
-lookahead: there the tokens are read off the back pointers. When the automaton has grown to ``max_states`` it is
-dropped and built anew, as lazy automata are; this changes no result.
+tokenizer's split pattern). A token sequence is the BPE encoding exactly if every two neighbours are (Berglund, van der
+Merwe: "Formalizing BPE tokenization"; neighbours are checked with the merge table and remembered), so which token ends
+a prefix depends only on the token before it. A state is what the future depends on: the suffixes of the bytes read that
+may still become a token, each with the token before it, and the last token of the prefix. Prefixes that agree in this
+are one state. States are created on first use; when there are ``max_states`` of them all but the present one are
+dropped and built anew, as lazy automata are, which changes no result.
+
+Every state that the rest of a piece may go back to is the present place or the start of one of these suffixes. The
+tokens before the place where the back pointers of all of these meet are final: they are emitted there, so that memory
+is bounded by this lookahead and time grows with the length, however long a piece is.
 
 Defined results: NULL and empty texts give the empty list; special tokens are ordinary text; texts of any length.
 """
@@ -14,6 +18,7 @@ Defined results: NULL and empty texts give the empty list; special tokens are or
 from __future__ import annotations
 
 import base64
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,7 +29,8 @@ from albaran.session import ship
 
 # Fixed value: the split pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Where the vocabulary is unless the session's setting VOCABULARY_SETTING or the argument `path` says otherwise.
+VOCABULARY, VOCABULARY_SETTING = "/opt/tokenizers/byte_bpe_50k.tiktoken", "spark.albaran.vocabulary"
 
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -36,20 +42,29 @@ def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
 class Transducer:
     """Encodes pieces of bytes; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 400_000, max_pieces: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000, max_pieces: int = 400_000, room: int = 512):
         self.ranks = ranks
-        self.longest = max(map(len, ranks))
-        self.max_states, self.max_pieces = max_states, max_pieces
+        self.max_states, self.max_pieces, self.room = max_states, max_pieces, room
+        self.sorted = sorted(ranks)
         self.pairs: dict[tuple[bytes, bytes], bool] = {}
         self.pieces: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.step: list[dict[int, int]] = [{}]
-        self.token: list[bytes] = [b""]
-        self.before: list[int] = [0]
-        self.path: list[int] = [-1]  # state one byte earlier
-        self.byte: list[int] = [-1]
+        self.step: list[dict[int, int]] = []
+        self.live: list[tuple[tuple[bytes, bytes], ...]] = []
+        self.last: list[bytes] = []
+        self.index: dict[tuple, int] = {}
+        self._state((), b"")
+
+    def _state(self, live: tuple[tuple[bytes, bytes], ...], last: bytes) -> int:
+        known = self.index.get((live, last))
+        if known is None:
+            known = self.index[(live, last)] = len(self.step)
+            self.step.append({})
+            self.live.append(live)
+            self.last.append(last)
+        return known
 
     def _merge(self, word: bytes) -> list[bytes]:
         """BPE by the definition: merge the pair of lowest rank, first place first."""
@@ -66,54 +81,82 @@ class Transducer:
         return parts
 
     def _fit(self, a: bytes, b: bytes) -> bool:
-        """Is [a, b] the encoding of a + b?"""
+        """Is [a, b] the encoding of a + b? With an empty a: is b its own encoding?"""
         known = self.pairs.get((a, b))
         if known is None:
             if len(self.pairs) > self.max_pieces:
                 self.pairs.clear()
-            known = self.pairs[(a, b)] = self._merge(a + b) == [a, b]
+            known = self.pairs[(a, b)] = self._merge(a + b) == ([a, b] if a else [b])
         return known
 
+    def _starts(self, s: bytes) -> bool:
+        """Is s the beginning of a longer token?"""
+        i = bisect_right(self.sorted, s)
+        return i < len(self.sorted) and self.sorted[i].startswith(s)
+
     def _grow(self, state: int, byte: int) -> int:
-        """The new state after `byte`: find the token that ends the encoding of the prefix, longest first."""
-        suffix, at = bytes((byte,)), state
-        ends: list[tuple[bytes, int]] = [(suffix, at)]
-        while at and len(suffix) < self.longest:
-            suffix = bytes((self.byte[at],)) + suffix
-            at = self.path[at]
-            if suffix in self.ranks:
-                ends.append((suffix, at))
-        for token, at in reversed(ends):
-            whole = self._merge(token) == [token] if at == 0 else self._fit(self.token[at], token)
-            if whole:
-                break
-        new = len(self.step)
-        self.step.append({})
-        self.token.append(token)
-        self.before.append(at)
-        self.path.append(state)
-        self.byte.append(byte)
-        self.step[state][byte] = new
-        return new
+        """The state after `byte`: the longest suffix that is a token and fits the token before it ends the prefix."""
+        if len(self.step) > self.max_states:
+            kept = self.live[state], self.last[state]
+            self._reset()
+            state = self._state(*kept)
+        more, token, live = bytes((byte,)), None, []
+        for suffix, before in (*self.live[state], (b"", self.last[state])):  # longest first
+            s = suffix + more
+            if token is None and s in self.ranks and self._fit(before, s):
+                token = s
+            if self._starts(s):
+                live.append((s, before))
+        if token is None:
+            raise ValueError("the vocabulary does not have every byte")
+        to = self.step[state][byte] = self._state(tuple(live), token)
+        return to
+
+    def _final(self, state: int, ends: list[bytes]) -> int:
+        """The last place before which nothing can change. ends: the token that ends at each place not emitted yet."""
+        n = len(ends)
+        places = {n, *(n - len(s) for s, _ in self.live[state])}
+        while len(places) > 1:
+            at = max(places)
+            if at <= 0:
+                return 0
+            places.remove(at)
+            places.add(at - len(ends[at - 1]))
+        return max(0, places.pop())
+
+    def _read(self, ends: list[bytes], upto: int) -> list[int]:
+        out = []
+        while upto > 0:
+            out.append(self.ranks[ends[upto - 1]])
+            upto -= len(ends[upto - 1])
+        out.reverse()
+        return out
+
+    def run(self, data: bytes) -> Iterator[list[int]]:
+        """The token ids of one piece, in parts that come as soon as they are final."""
+        state, ends, room = 0, [], self.room
+        for byte in data:
+            to = self.step[state].get(byte)
+            state = self._grow(state, byte) if to is None else to
+            ends.append(self.last[state])
+            if len(ends) >= room:
+                upto = self._final(state, ends)
+                if upto:
+                    yield self._read(ends, upto)
+                    del ends[:upto]
+                room = max(self.room, 2 * len(ends))
+        yield self._read(ends, len(ends))
 
     def piece(self, text: str) -> list[int]:
         """Token ids of one piece."""
         known = self.pieces.get(text)
         if known is not None:
             return known
-        if len(self.step) > self.max_states:
-            self._reset()
         if len(self.pieces) > self.max_pieces:
             self.pieces.clear()
-        state = 0
-        for byte in text.encode("utf-8"):
-            nxt = self.step[state].get(byte)
-            state = self._grow(state, byte) if nxt is None else nxt
-        out = []
-        while state:
-            out.append(self.ranks[self.token[state]])
-            state = self.before[state]
-        out.reverse()
+        out: list[int] = []
+        for part in self.run(text.encode("utf-8")):
+            out += part
         if len(text) <= 64:
             self.pieces[text] = out
         return out
@@ -201,10 +244,10 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes]) -> Iterator[str]:
         yield rest
 
 
-def _shared(df: DataFrame, path: str):
+def _shared(df: DataFrame, path: str | None):
     """The vocabulary for the executors: a file of fixed size (under 1 MB), read once on the driver."""
     ship(df.sparkSession)
-    with open(path, "rb") as f:
+    with open(path or df.sparkSession.conf.get(VOCABULARY_SETTING, VOCABULARY), "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
@@ -228,7 +271,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], text: str, most: int = 4_000_000)
             yield batch.slice(i, rows)
 
 
-def encode(docs: DataFrame, key: str, text: str, path: str = VOCABULARY, out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, key: str, text: str, path: str | None = None, out: str = "ids") -> DataFrame:
     """(key, ids ARRAY<INT>) of every row: one pass, no shuffle, only the two columns are read."""
     raw = _shared(docs, path)
     kind = docs.schema[key].dataType
@@ -246,7 +289,7 @@ def encode(docs: DataFrame, key: str, text: str, path: str = VOCABULARY, out: st
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind.simpleString()}, `{out}` array<int>")
 
 
-def token_counts(docs: DataFrame, keep: list[str], text: str, path: str = VOCABULARY, out: str = "tokens") -> DataFrame:
+def token_counts(docs: DataFrame, keep: list[str], text: str, path: str | None = None, out: str = "tokens") -> DataFrame:
     """The columns keep and the number of tokens of text (0 for NULL and empty)."""
     raw = _shared(docs, path)
     schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
@@ -260,7 +303,7 @@ def token_counts(docs: DataFrame, keep: list[str], text: str, path: str = VOCABU
     return docs.select(*keep, text).mapInArrow(run, f"{schema}, `{out}` bigint")
 
 
-def decode(encoded: DataFrame, key: str, ids: str = "ids", path: str = VOCABULARY, out: str = "text") -> DataFrame:
+def decode(encoded: DataFrame, key: str, ids: str = "ids", path: str | None = None, out: str = "text") -> DataFrame:
     """(key, text) of the token lists; NULL lists give the empty text."""
     raw = _shared(encoded, path)
     kind = encoded.schema[key].dataType

@@ -67,3 +67,33 @@ def test_vocabulary_file_is_what_is_read(tmp_path):
     f = tmp_path / "v"
     f.write_bytes(b"\n".join(base64.b64encode(bytes([i])) + b" %d" % i for i in range(256)))
     assert K.Tokenizer(K.read_ranks(str(f))).encode("hé") == [104, 195, 169]
+
+
+def test_long_pieces_take_linear_time_and_bounded_memory(ranks, public):
+    import time
+
+    rng = random.Random(8)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzñéαβ漢字かな") for _ in range(60_000))
+    for w in ("a" * 40_000, "ab" * 20_000, letters, " " * 30_000, "-=" * 9_000, "0123456789" * 2_000):
+        t = K.Transducer(ranks, room=64)
+        out, ends = [], 0
+        for part in t.run(w.encode()):
+            out += part
+            ends = max(ends, len(part))
+        assert out == public.encode_ordinary(w)
+        assert ends < 2_000  # parts come out on the way
+    t = K.Transducer(ranks, max_states=5_000)
+    t.piece(letters[:1000])
+    took = []
+    for n in (10_000, 40_000):
+        began = time.perf_counter()
+        t.piece("".join(rng.choice(letters) for _ in range(n)))
+        took.append(time.perf_counter() - began)
+        assert len(t.step) <= 5_002
+    assert took[1] < 12 * took[0]
+
+
+def test_states_are_merged(ranks):
+    t = K.Transducer(ranks)
+    t.piece("ab" * 5_000)
+    assert len(t.step) < 200
