@@ -45,6 +45,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return batches.pairs_by_batches(table(spark, d, "extracted_procurement"), table(spark, d, "sites"))
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each record with its class of deliveries of one document."""
+    return batches.classes_by_batches(table(spark, d, "extracted_procurement"), table(spark, d, "sites"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode(spread(table(spark, d, "documents")), "doc_id", "text")
 
@@ -79,6 +84,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p5_found, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_segments)
+    f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p5_found, p5_classes, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_segments)
 }
 SQL: dict[str, str] = {}

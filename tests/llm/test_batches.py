@@ -57,7 +57,7 @@ def test_pairs_equal_all_pairs_compared(tables):
 
 def test_runs_give_the_same_pairs_batch_by_batch(spark, tables, tmp_path):
     rows, sites = tables
-    store = B.RunStore(spark, str(tmp_path / "runs"), spans=4, most_runs=2)
+    store = B.RunStore(spark, str(tmp_path / "runs"), per_range=3, most_runs=2)
     got = set()
     for k in range(4):
         new = {tuple(r) for r in store.add(rows.where(f"rec_id % 4 = {k}"), sites).collect()}
@@ -78,3 +78,41 @@ def test_loads_in_order_give_the_same_pairs(tables):
 def test_empty(tables):
     rows, sites = tables
     assert B.pairs_of(rows.limit(0), sites).count() == 0
+
+
+@pytest.mark.parametrize("most_keys", [0, 500_000])
+def test_history_is_read_by_range_and_key(spark, tables, tmp_path, most_keys):
+    rows, sites = tables
+    store = B.RunStore(spark, str(tmp_path / "runs"), per_range=2, broadcast_rows=most_keys)
+    store.add(rows.where("rec_id in (1, 7, 9)"), sites)
+    assert len(store._list(store.runs()[0], "lo=")) > 1
+    new = B.cut(B.sort_keys(B._rows(rows.where("rec_id in (2, 3)"), sites)))
+    near = store._near(new)
+    assert {r.whole for r in near.collect()} == {5196}
+    plan = near._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(lo" in plan.replace("  ", " ") or "lo#" in plan.split("PartitionFilters")[1][:200]
+    # copies of what is accepted are members and nothing else
+    before = store.links().count()
+    got = {tuple(r) for r in store.add(rows.where("rec_id = 12"), sites).collect()}
+    assert got == {(1, 12)} and store.links().count() == before
+
+
+def test_hot_windows_are_split(spark, tables):
+    rows = [(i, "mad", f"Logística Brutrogrevo {'S.L.' if i % 2 else 'SL'}", "" if i % 3 == 0 else "PO-1", "2023-04-25", f"{5000 + (i % 7) / 100:.2f}") for i in range(60)]
+    df = spark.createDataFrame(rows, COLS)
+    p = {r.rec_id: (r.supplier, r.number, r.day, r.cents) for r in B.prepare(df, tables[1]).collect()}
+    want = {(a, b) for a, b in itertools.combinations(sorted(p), 2) if B.same_document(p[a], p[b])}
+    keyed = B.sort_keys(B._rows(df, tables[1]).dropDuplicates(["w"]))
+    links = {tuple(r) for r in B.windows(keyed, least_hot=4).collect()}
+    assert links == {tuple(r) for r in B.windows(keyed).collect()} and len(links) > 100
+    assert {tuple(r) for r in B.pairs_of(df, tables[1]).collect()} == want
+
+
+def test_classes(tables):
+    rows, sites = tables
+    got = {r.rec_id: (r.cls, r.copies) for r in B.classes_by_batches(rows.withColumn("load_id", F.lit(1)), sites).collect()}
+    of = {r: r for r in got}
+    for a, b in sorted(brute(tables)):
+        low, high = sorted((of[a], of[b]))
+        of = {r: low if c == high else c for r, c in of.items()}
+    assert {r: c for r, (c, _) in got.items()} == of and got[1][1] == sum(c == 1 for c in of.values())
