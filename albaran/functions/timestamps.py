@@ -103,9 +103,9 @@ def laid_out(value: Column) -> Column:
 
 
 def numbers(laid: Column) -> Column:
-    """Array of the numeric components; misread digits are mended. NULL where no format fits."""
+    """Array of the numeric components as texts, '' where there is none; misread digits are mended. NULL where no format fits."""
     digits = F.translate(F.substring_index(laid, TURN, 1), "OoIlSB", "001158")
-    return F.when(F.instr(laid, TURN) > 0, F.split(digits, SEP).try_cast("array<bigint>"))
+    return F.when(F.instr(laid, TURN) > 0, F.split(digits, SEP))
 
 
 def texts(laid: Column) -> Column:
@@ -122,7 +122,8 @@ def instant_text(seconds: Column) -> Column:
 def stages(value: str, tz_name: str, date_order: str, years: tuple[int, int], out: str) -> list[dict[str, Column]]:
     """The columns to add, step by step; each step reads columns of the steps before."""
     col = lambda k: F.col(f"_ts_{k}")
-    n = lambda g: F.get(col("n"), NUMBERS.index(g))
+    # a failing cast costs an exception, so what isn't there is not cast
+    n = lambda g: F.nullif(F.get(col("n"), NUMBERS.index(g)), F.lit("")).try_cast("bigint")
     t = lambda g: F.nullif(F.get(col("t"), TEXTS.index(g)), F.lit(""))
     full = lambda y: F.when(y < 100, y + 2000).otherwise(y)
     month = lookup(month_table(), F.lower(F.coalesce(t("mt"), t("mu")))).cast("bigint")
