@@ -14,13 +14,18 @@ def _drop(c: Column, mark: str) -> Column:
     return F.replace(c, F.lit(mark), F.lit(""))
 
 
+def _double(c: Column) -> Column:
+    """A plain number; NULL for anything else, without the exception that a failing cast costs."""
+    return F.when(c.rlike(r"^\s*[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?\s*$"), c).try_cast("double")
+
+
 def parse_decimal_legacy(c: Column) -> Column:
     """Reads O as 0 and drops signs; a point before a comma wins, so 1.234,56 gives 1.23456. NULL where unreadable."""
     s = F.regexp_replace(F.translate(c, "Oo ", "00"), "[^0-9.,]", "")
     s = F.when((_count(s, ".") > 1) & (_count(s, ",") == 1), _drop(s, ".")).otherwise(s)
     s = F.when((_count(s, ",") > 1) & (_count(s, ".") == 1), _drop(s, ",")).otherwise(s)
     s = F.when((F.instr(s, ".") > 0) & (F.instr(s, ",") > F.instr(s, ".")), _drop(s, ",")).otherwise(s)
-    return F.translate(s, ",", ".").try_cast("double")
+    return _double(F.translate(s, ",", "."))
 
 
 def parse_numeric(c: Column) -> Column:
@@ -29,7 +34,7 @@ def parse_numeric(c: Column) -> Column:
     both = (F.instr(s, ".") > 0) & (F.instr(s, ",") > 0)
     comma_last = F.instr(F.reverse(s), ",") < F.instr(F.reverse(s), ".")
     s = F.when(both & comma_last, F.translate(_drop(s, "."), ",", ".")).when(both, _drop(s, ",")).otherwise(F.translate(s, ",", "."))
-    return s.try_cast("double")
+    return _double(s)
 
 
 def safe_float(c: Column) -> Column:
@@ -42,7 +47,7 @@ def safe_float(c: Column) -> Column:
     comma_last = comma_last & (F.instr(s, ",") > 0)
     two = F.when(comma_last, F.translate(_drop(s, "."), ",", ".")).otherwise(_drop(s, ","))
     out = F.when(n == 0, s).when((n == 1) & (after <= 2), F.translate(s, ",", ".")).when(n == 1, bare).when(n == 2, two)
-    return F.coalesce(out.try_cast("double"), F.lit(0.0))
+    return F.coalesce(_double(out), F.lit(0.0))
 
 
 def safe_parse_numeric(c: Column) -> Column:
@@ -60,11 +65,11 @@ def safe_parse_numeric(c: Column) -> Column:
             .when((commas > 1) & (dots == 0), groups)
             .otherwise(F.translate(t, ",", "."))
         )
-        return F.when(_count(value, ".") <= 1, value).try_cast("double")
+        return _double(F.when(_count(value, ".") <= 1, value))
 
     tokens = F.regexp_extract_all(s, F.lit(r"([0-9]+(?:[.,][0-9]+)*)"), F.lit(1))
     return F.coalesce(F.get(F.array_compact(F.transform(tokens, read)), F.lit(0)), F.lit(0.0))
 
 
 def comma_to_dot(c: Column) -> Column:
-    return F.translate(c, ",", ".").try_cast("double")
+    return _double(F.translate(c, ",", "."))

@@ -46,12 +46,18 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; a private one only where the session names none."""
+    """The shared folder for checkpoints, which spark.checkpoint.dir names.
+
+    Where that is unset, a local master (one machine, as in tests) gets a temporary folder; on a cluster it is an error,
+    as the executors could not share it.
+    """
     sc = spark.sparkContext
     now = sc.getCheckpointDir()
     if now:
         return now
     said = spark.conf.get("spark.checkpoint.dir", None)
+    if not said and not sc.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(said or tempfile.mkdtemp(prefix="albaran-checkpoint-"))
     return sc.getCheckpointDir()
 
