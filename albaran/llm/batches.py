@@ -29,9 +29,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from albaran.functions import timestamps as ts
 from albaran.llm.graph import components
 from albaran.llm.names import conflict, parse, similarity
+from albaran.operators.timestamps import laid_out
 from albaran.session import checkpoint_folder, cut, settle, ship
 
 KEY = ("whole", "kind", "rest")
@@ -69,8 +69,7 @@ def _local_day(rows: DataFrame, value: str, sites: DataFrame, site: str) -> Data
     """rows with the column `day`: the calendar day at the record's site as yyyy-MM-dd, '' where none can be read."""
     places = sites.select(F.col("site_code").alias("_ts_site"), F.col("tz_name").alias("_ts_tz"), F.col("date_order").alias("_ts_order")).dropDuplicates(["_ts_site"])
     df = rows.join(places, rows[site] == places["_ts_site"], "left")
-    for step in ts.stages(value, "_ts_tz", "_ts_order", (1990, 2100), "_ts_out"):
-        df = df.withColumns(step)
+    df = laid_out(df, value, "_ts_tz", "_ts_order", (1990, 2100), "_ts_out")
     at_site = F.from_utc_timestamp(F.timestamp_seconds(F.col("_ts_at")), F.coalesce(F.col("_ts_tz"), F.lit("UTC")))
     shifted = F.date_from_unix_date(F.floor(F.unix_seconds(at_site) / 86400).cast("int")).cast("string")
     wall = F.date_from_unix_date(F.col("_ts_day").cast("int")).cast("string")
