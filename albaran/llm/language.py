@@ -44,6 +44,7 @@ NO_LABEL = frozenset(("", "und", "mul", "xx", "zxx", "mis", "unknown", "?", "n/a
 BLANK = re.compile(r"(?:\r?\n|\r)[^\S\r\n]*(?:\r?\n|\r)\s*")
 WORD = re.compile(r"[^\W\d_]{2,}")
 LINE = re.compile(r"\r\n|\n|\r")
+LABELLED = re.compile(r"\s*[^\s:]+(?: [^\s:]+){0,3}\s?:(?:\s|$)")
 CELL = re.compile(r"\s\|\s")
 
 
@@ -63,8 +64,21 @@ def paragraphs(text: str) -> list[str]:
 
 
 def sentences_of(paragraph: str, words: int = 7) -> str:
-    """The lines of a paragraph that hold a sentence: enough words, no table row."""
-    return "\n".join(line for line in LINE.split(paragraph) if len(CELL.findall(line)) < 2 and len(WORD.findall(line)) >= words)
+    """The lines of a paragraph that hold a sentence: enough words, no table row.
+
+    Lines that were wrapped are counted as one: a line that ends without a mark, and the next one that begins with a
+    small letter, unless one of them is a field with its label.
+    """
+    whole: list[list[str]] = []
+    for line in LINE.split(paragraph):
+        bare = line.strip()
+        if len(CELL.findall(line)) >= 2 or not bare:
+            whole.append([])
+        elif whole and whole[-1] and bare[0].islower() and whole[-1][-1].rstrip()[-1] not in ".!?:;" and not LABELLED.match(line) and not LABELLED.match(whole[-1][-1]):
+            whole[-1].append(line)
+        else:
+            whole.append([line])
+    return "\n".join(line for group in whole if sum(len(WORD.findall(x)) for x in group) >= words for line in group)
 
 
 def windows(text: str) -> np.ndarray:

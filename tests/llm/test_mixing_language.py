@@ -91,3 +91,10 @@ def test_segments_and_corrections(spark, net):
 
 def test_labels():
     assert [L.label_code(x) for x in ("es-PE", "Spanish", "castellano", "ENG", "", None, "und", "?", "ru", "pt_BR")] == ["es", "es", "es", "en", None, None, None, None, "other", "pt"]
+
+
+def test_wrapped_lines_are_one_sentence():
+    wrapped = "The goods must be kept\nin a dry place away\nfrom direct heat."
+    assert L.sentences_of(wrapped) == wrapped
+    assert L.sentences_of("Invoice no 12\nDate 3 May\nSupplier Bolts Ltd") == ""
+    assert L.sentences_of("a | b | c\nthe goods must be\n1 | x | y | z\nkept in a dry place") == ""
