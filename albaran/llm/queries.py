@@ -41,6 +41,12 @@ def p3_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return p3_found(spark, d).where("code = 'NONE'").groupBy("src").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def p3_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct value of either column with all entries within its distance."""
+    a, b = table(spark, d, "extracted_procurement").select("currency"), table(spark, d, "cleaned_procurement").select(F.col("`raw_value:currency`").alias("currency"))
+    return canonical.within(a.unionByName(b), "currency", table(spark, d, "currency_reference"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return batches.pairs_by_batches(table(spark, d, "extracted_procurement"), table(spark, d, "sites"))
 
@@ -84,6 +90,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p5_found, p5_classes, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_segments)
+    f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p3_candidates, p5_found, p5_classes, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_segments)
 }
 SQL: dict[str, str] = {}
