@@ -66,10 +66,11 @@ def with_classification(docs: DataFrame, key: str, known: DataFrame) -> DataFram
     return docs.join(k, docs[key] == F.col("_doc"), "left").drop("_doc").fillna("unknown", ["document_type", "extraction_method"])
 
 
-def route_scores(docs: DataFrame, key: str, text: str, record: dict[str, str] | None = None) -> DataFrame:
+def route_scores(docs: DataFrame, key: str, text: str, record: dict[str, str] | None = None, keep: dict[str, Column] = {}) -> DataFrame:
     """(doc, procurement, specification): scores from 0 to 1 by key words and text signals.
 
     record: columns supplier, number, date, subtotal, total of an extraction, where there is one; '' and NULL are missing.
+    keep: more columns of the result.
     """
     low = F.lower(F.col(text))
     hits = lambda words: sum((F.when(low.contains(w), 1).otherwise(0) for w in words[1:]), F.when(low.contains(words[0]), 1).otherwise(0))
@@ -84,7 +85,7 @@ def route_scores(docs: DataFrame, key: str, text: str, record: dict[str, str] |
     p = p + points(low.rlike("total|subtotal|tax|cantidad|precio"), 1)
     s = s + points(low.rlike("specification|requirement|standard|norm|datasheet|technical|feature|characteristic"), 1)
     s = s + points(low.rlike("material|dimension|weight|temperature|voltage|current"), 1)
-    return docs.select(F.col(key).alias("doc"), F.least(p / 10, F.lit(1.0)).alias("procurement"), F.least(s / 10, F.lit(1.0)).alias("specification"))
+    return docs.select(F.col(key).alias("doc"), F.least(p / 10, F.lit(1.0)).alias("procurement"), F.least(s / 10, F.lit(1.0)).alias("specification"), *[c.alias(n) for n, c in keep.items()])
 
 
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -59,7 +59,7 @@ def line_items(df: DataFrame, key: str, text: str, most: int | None = 20, width:
     lines = text_lines(df, key, text).where((F.length("line") >= 12) & ~F.upper("line").rlike(SKIP))
     line, cols = F.col("line"), F.col("cols")
     lines = lines.withColumn("cols", F.split("line", r"\s*\|\s*|\t+"))
-    cut = (line.contains("|") | line.contains("\t")) & (F.size(cols) >= 3) & F.exists(F.slice(cols, 2, 10_000), lambda x: x.rlike(r"\d"))
+    cut = (line.contains("|") | line.contains("\t")) & (F.size(cols) >= 3) & F.exists(F.slice(cols, F.lit(2), F.size(cols)), lambda x: x.rlike(r"\d"))
     last, before = F.try_element_at(cols, F.lit(-1)), F.try_element_at(cols, F.lit(-2))
     q, p, t = _first(line, QUANTITY), _first(line, PRICE), _first(line, TOTAL)
     lines = lines.withColumns(

@@ -56,7 +56,7 @@ def is_header_like(c: Column) -> Column:
 def normalise_row(cells: Column, width: int) -> Column:
     """Padded with '' or folded into `width` cells."""
     c = F.transform(cells, squash)
-    folded = F.concat(F.slice(c, 1, width - 1), F.array(squash(F.array_join(F.slice(c, width, 10_000), " "))))
+    folded = F.concat(F.slice(c, 1, width - 1), F.array(squash(F.array_join(F.slice(c, F.lit(width), F.greatest(F.size(c), F.lit(1))), " "))))
     return F.when(F.size(c) <= width, F.slice(F.concat(c, F.array_repeat(F.lit(""), width)), 1, width)).otherwise(folded)
 
 
@@ -79,7 +79,7 @@ def merge_broken_rows(rows: DataFrame, width: int) -> DataFrame:
         return F.when(r["short"], beside).otherwise(tail)
 
     first = normalise_row(F.col("rows")[0]["cells"], width)
-    merged = F.aggregate(F.slice("rows", 2, 1_000_000), first, add)
+    merged = F.aggregate(F.slice("rows", F.lit(2), F.size("rows")), first, add)
     return grouped.select("doc", F.col("rows")[0]["row_no"].alias("row_no"), merged.alias("cells"))
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from albaran.plans import problems, records, texts
+from albaran.plans import more, problems, records, texts
 
-QUERIES = {**problems.QUERIES, **texts.QUERIES, **records.QUERIES}
-SQL = {**problems.SQL, **texts.SQL, **records.SQL}
+QUERIES = {**problems.QUERIES, **texts.QUERIES, **records.QUERIES, **more.QUERIES}
+SQL = {**problems.SQL, **texts.SQL, **records.SQL, **more.SQL}
 FLAGSHIP = texts.line_items
