@@ -71,6 +71,7 @@ class Plan:
     tokens: np.ndarray
     weights: np.ndarray
     total: float
+    aims: list[np.ndarray]
 
 
 def plan_mix(cells: list[tuple[str, str, str, int]], targets: list[tuple[str, float, int]], total: float | None = None) -> Plan:
@@ -92,7 +93,8 @@ def plan_mix(cells: list[tuple[str, str, str, int]], targets: list[tuple[str, fl
     by_lang, by_topic = (tokens[live].sum(axis=(0, 2)), tokens[live].sum(axis=(0, 1)))
     scale = tokens[live].sum() or 1.0
     w = rake(np.where(live[:, None, None], tokens, 0), [by_source, by_lang / scale * size, by_topic / scale * size], repeats) if size else tokens * 0
-    return Plan(sources, share, repeats, langs, topics, tokens, w, size)
+    aims = [by_source / (size or 1.0), by_lang / scale, by_topic / scale]
+    return Plan(sources, share, repeats, langs, topics, tokens, w, size, aims)
 
 
 def sized(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str, lang: str, topic: str, path: str | None) -> DataFrame:
@@ -112,8 +114,13 @@ def sized(docs: DataFrame, targets: DataFrame, key: str, text: str, source: str,
 def mix(
     docs: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: str = "category",
     path: str | None = None, total: float | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(the mix: doc_id, source, lang, topic, tokens, copies; the report by source: targets and what was reached)."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(the mix: doc_id, source, lang, topic, tokens, copies; the report by source; the report by marginal).
+
+    The report by source has the targets and what was reached; the one by marginal (marginal, value, target_share,
+    raked_share, actual_share) has for each source, language and topic the share aimed at, that of the raked weights
+    (equal to it where the raking converged) and that of the documents drawn.
+    """
     spark = docs.sparkSession
     rows = sized(docs, targets, key, text, source, lang, topic, path)
     # sums by cell and hash bin: at most cells * BINS rows, whatever the corpus
@@ -149,10 +156,24 @@ def mix(
     all_ = got.agg(F.sum("mixed_tokens").alias("all_tokens"))
     zero = lambda c, t="bigint": F.coalesce(F.col(c), F.lit(0)).cast(t).alias(c)
     report = (
-        F.broadcast(targets.select("source", "target_share", "max_repeats")).join(have, "source", "left").join(got, "source", "left").crossJoin(F.broadcast(all_))
+        targets.select("source", "target_share", "max_repeats").join(have, "source", "left").join(got, "source", "left").crossJoin(F.broadcast(all_))
         .select(
             "source", "target_share", "max_repeats", zero("source_tokens"), zero("documents"), zero("copies"), zero("repeats", "int"), zero("mixed_tokens"),
             F.coalesce(F.try_divide(F.col("mixed_tokens"), F.col("all_tokens")), F.lit(0.0)).alias("actual_share"),
         )
     )
-    return drawn, report
+    sums = {"source": plan.weights.sum(axis=(1, 2)), "lang": plan.weights.sum(axis=(0, 2)), "topic": plan.weights.sum(axis=(0, 1))}
+    all_weight = plan.weights.sum() or 1.0
+    aims = [
+        (m, v, float(a), float(w / all_weight))
+        for m, values, aim in (("source", plan.sources, plan.aims[0]), ("lang", plan.langs, plan.aims[1]), ("topic", plan.topics, plan.aims[2]))
+        for v, a, w in zip(values, aim, sums[m])
+    ]
+    goals = spark.createDataFrame(aims, "marginal string, value string, target_share double, raked_share double")
+    weight = F.sum(F.col("tokens") * F.col("copies"))
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("marginal"), F.col(m).alias("value")) for m in sums]))
+    reached = drawn.select(each.alias("x"), "tokens", "copies").groupBy("x.marginal", "x.value").agg(weight.alias("n"))
+    marginals = goals.join(reached, ["marginal", "value"], "left").crossJoin(F.broadcast(all_)).select(
+        "marginal", "value", "target_share", "raked_share", F.coalesce(F.try_divide(F.col("n"), F.col("all_tokens")), F.lit(0.0)).alias("actual_share")
+    )
+    return drawn, report, marginals

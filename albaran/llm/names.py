@@ -1,7 +1,10 @@
 """Variant spellings of names typed by people.
 
-Suffix blocking: the token suffixes of a fixed minimum length are the index. A suffix (or a trade or given name) that
-too many names share is not discarded but refined with the other fields of the name. Pairs of a block are compared by
+Suffix blocking: all token suffixes from a minimum length on are the index; a trade or given name is a key, too, for
+tokens whose end is misread. A key that too many names share (``common``) is refined with the other fields of the name
+first, and only then discarded: the shortest suffix and the fields have refined keys, and of a longer suffix the names
+are among those of its end. So every name keeps its keys, but a pair that has nothing but common keys in common, and none
+of the refined ones, is not compared; the README has the measured loss. Pairs of a block are compared by
 the longest-common-subsequence ratio of their tokens. Spellings whose tokens are all written out are joined into
 classes first; spellings with initials or a missing family name then join the class they fit, if at least three quarters of the
 written-out spellings they fit are of one class.
@@ -378,8 +381,11 @@ def conflict(a: Name, b: Name) -> bool:
     return total < 0.6 * 2 * min(sum(map(len, a.core)), sum(map(len, b.core)))
 
 
-def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str]]:
-    """(index key, refined key) of a name. The first is a token suffix or a common field; the second adds other fields."""
+def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str | None]]:
+    """(index key, refined key) of a name. The first is a token suffix or a common field; the second adds other fields.
+
+    Suffixes above the shortest length have no refined key: those of their end are finer already.
+    """
     fields = sorted(n.trade) or sorted(n.given) or [x for x in n.initials[:1]]
     field = fields[0] if fields else ""
     out = []
@@ -388,6 +394,7 @@ def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str
         out.append((f"s:{tail}", f"s:{tail}|{field[:1]}|{'t' if n.trade else 'g'}{t[:1]}"))
         out.append((f"s:{tail}", f"s:{tail}|{field}"))
         out.append((f"s:{tail}", f"s:{tail}|*{t[:2]}"))  # for names whose other fields can't be read
+        out += [(f"s:{t[i:]}", None) for i in range(len(t) - shortest)]
         out.append((f"f:{field}", f"f:{field}|{t[: head - 1]}"))
         out.append((f"f:{field}", f"f:{field[:1]}|{t[:head]}"))
     if len(n.core) > 1:
@@ -423,8 +430,8 @@ def _same_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def candidates(names: DataFrame, common: int = 60) -> DataFrame:
     """Pairs (name_a, name_b) that share a block. names: (name), distinct.
 
-    An index key that more than `common` names share is refined with the other fields; a refined block that is still
-    as large is compared whole: no name and no pair is dropped.
+    An index key that more than `common` names share is replaced by its refined keys; a refined block that is still as
+    large is compared whole.
     """
     ship(names.sparkSession)
     # One name gives few keys; the sizes come from a map-side combined count.
@@ -433,6 +440,7 @@ def candidates(names: DataFrame, common: int = 60) -> DataFrame:
     block = (
         keyed.join(size, "key")
         .select("name", F.when(F.col("size") > common, F.col("refined")).otherwise(F.col("key")).alias("block"))
+        .where("block is not null")
         .distinct()
     )
     a, b = block.withColumnRenamed("name", "name_a"), block.withColumnRenamed("name", "name_b")

@@ -75,6 +75,11 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))[1]
 
 
+def p9_marginals(spark: SparkSession, d: str) -> DataFrame:
+    """Shares aimed at, of the raked weights and reached, by source, language and topic."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "source_targets"))[2]
+
+
 def _segments(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     return language.segments(spread(docs), language.train(docs))
@@ -90,6 +95,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p3_candidates, p5_found, p5_classes, p8_ids, p8_round_trip, p9_mix, p9_shares, p10_found, p10_segments)
+    f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p3_candidates, p5_found, p5_classes, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_marginals, p10_found, p10_segments)
 }
 SQL: dict[str, str] = {}

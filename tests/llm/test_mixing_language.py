@@ -30,7 +30,10 @@ def test_mix_shares_and_repeats(spark):
     docs += [(1000, None, "en", "a", "clean"), (1001, "", "en", "b", "clean")]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, category string")
     goal = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.1, 3), ("gone", 0.1, 2)], "source string, target_share double, max_repeats int")
-    drawn, report = M.mix(df, goal)
+    drawn, report, marginals = M.mix(df, goal)
+    got = [r for r in marginals.collect() if r.value != "gone"]
+    assert {r.marginal for r in got} == {"source", "lang", "topic"}
+    assert all(abs(r.target_share - r.raked_share) < 0.01 and abs(r.actual_share - r.raked_share) < 0.03 for r in got)
     rep = {r.source: r for r in report.collect()}
     for s, share in (("a", 0.5), ("b", 0.3), ("c", 0.1)):
         assert rep[s].actual_share == pytest.approx(share / 0.9, abs=0.02)

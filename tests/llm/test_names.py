@@ -82,3 +82,8 @@ def test_classes_of_a_small_table_with_hot_blocks(spark):
     }
     assert got == want and len(got) == 6 * (3 + 1)
     assert N.variants(df.limit(0)).count() == 0
+
+
+def test_all_suffixes_are_keys():
+    keys = [k for k, _ in N.block_keys(N.parse("Ferretería Brutrogrevo S.L."))]
+    assert {"s:revo", "s:grevo", "s:brutrogrevo"} <= set(keys)
