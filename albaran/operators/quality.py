@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,10 +173,11 @@ def clean(df: DataFrame) -> DataFrame:
 
 
 def cleaning_report(df: DataFrame) -> DataFrame:
-    """(field, found, distinct_values, nulls) of a clean table."""
+    """(field, found, distinct_values, nulls) of a clean table: one scan, values counted map-side before they are counted again."""
     names = ["supplier_name", "quantity", "currency", "item_description", "purchase_order_number"]
-    parts = [
-        df.agg(F.count(n).alias("found"), F.count_distinct(n).alias("distinct_values"), F.count_if(F.col(n).isNull()).alias("nulls")).select(F.lit(n).alias("field"), "found", "distinct_values", "nulls")
-        for n in names
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).cast("string").alias("value")) for n in names]))
+    counts = df.select(each.alias("x")).groupBy("x.field", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    there = F.col("value").isNotNull()
+    sums = counts.groupBy("field").agg(F.sum(F.when(there, F.col("n")).otherwise(0)).alias("found"), F.count("value").alias("distinct_values"), F.sum(F.when(there, 0).otherwise(F.col("n"))).alias("nulls"))
+    fields = df.sparkSession.createDataFrame([(n,) for n in names], "field string")
+    return fields.join(sums, "field", "left").fillna(0)
