@@ -5,7 +5,8 @@ tokens whose end is misread. A key that too many names share (``common``) is ref
 first, and only then discarded: the shortest suffix and the fields have refined keys, and of a longer suffix the names
 are among those of its end. So every name keeps its keys, but a pair that has nothing but common keys in common, and none
 of the refined ones, is not compared; the README has the measured loss. Pairs of a block are compared by
-the longest-common-subsequence ratio of their tokens. Spellings whose tokens are all written out are joined into
+the longest-common-subsequence ratio of their tokens. Beside the fixed lists of trades and given names, words that stand
+beside many different ones are learned from the corpus: two names with different ones are not one supplier's. Spellings whose tokens are all written out are joined into
 classes first; spellings with initials or a missing family name then join the class they fit, if at least three quarters of the
 written-out spellings they fit are of one class.
 
@@ -381,6 +382,27 @@ def conflict(a: Name, b: Name) -> bool:
     return total < 0.6 * 2 * min(sum(map(len, a.core)), sum(map(len, b.core)))
 
 
+@lru_cache(maxsize=100_000)
+def _common_word(x: str, learned: frozenset[str]) -> str | None:
+    """The learned word that x is, or is a slip of."""
+    if x in learned or len(x) < 4:
+        return x if x in learned else None
+    near = max((w for w in learned if w[0] == x[0] and abs(len(w) - len(x)) <= 2), key=lambda w: (lcs_ratio(x, w), w), default="")
+    return near if lcs_ratio(x, near) >= 0.85 else None
+
+
+def other_words(a: Name, b: Name, learned: frozenset[str]) -> bool:
+    """Does each of two names without a known trade or given name have a common word of the corpus that the other lacks?
+
+    Common words stand beside many different ones, as trades do. A slip or a cut-off form is the same word.
+    """
+    if not learned or not (a.vague and b.vague):
+        return False
+    same = lambda x, y: lcs_ratio(x, y) >= 0.8 or min(len(x), len(y)) >= 3 and (x.startswith(y) or y.startswith(x))
+    lone = lambda p, q: any((w := _common_word(x, learned)) and not any(same(x, y) or same(w, y) for y in q.core) for x in p.core)
+    return lone(a, b) and lone(b, a)
+
+
 def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str | None]]:
     """(index key, refined key) of a name. The first is a token suffix or a common field; the second adds other fields.
 
@@ -413,18 +435,47 @@ def _keys_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["name", "key", "refined"])
 
 
-def _score_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _score(learned: frozenset[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for x, y in zip(b["name_a"], b["name_b"]):
+                p, q = parse(x), parse(y)
+                rows.append((x, y, 0.0 if other_words(p, q, learned) else similarity(p, q), p.weak or q.weak, p.weak, q.weak))
+            yield pd.DataFrame(rows, columns=["name_a", "name_b", "score", "weak", "weak_a", "weak_b"])
+
+    return run
+
+
+def _same(learned: frozenset[str]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[not conflict(p := parse(x), q := parse(y)) and not other_words(p, q, learned) for x, y in zip(b["name_a"], b["name_b"])]]
+
+    return run
+
+
+def _words_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
-        for x, y in zip(b["name_a"], b["name_b"]):
-            p, q = parse(x), parse(y)
-            rows.append((x, y, similarity(p, q), p.weak or q.weak, p.weak, q.weak))
-        yield pd.DataFrame(rows, columns=["name_a", "name_b", "score", "weak", "weak_a", "weak_b"])
+        for name in b["name"]:
+            n = parse(name)
+            if n.vague and len(n.core) > 1:
+                rows += [(w, " ".join(x for x in n.core if x != w)) for w in set(n.core) if len(w) >= 4]
+        yield pd.DataFrame(rows, columns=["word", "beside"])
 
 
-def _same_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield b[[not conflict(parse(x), parse(y)) for x, y in zip(b["name_a"], b["name_b"])]]
+def learned_words(names: DataFrame, least: int = 20) -> frozenset[str]:
+    """Words of names without a known trade or given name that stand beside many different ones, learned from all names.
+
+    A word counts from `least` different companions on, and from a 5,000th of all (name, word) pairs, so that there are
+    at most 5,000 such words, whatever the corpus.
+    """
+    ship(names.sparkSession)
+    pairs = names.mapInPandas(_words_udf, "word string, beside string").distinct()
+    counts = cut(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return frozenset(r["word"] for r in counts.where(F.col("n") >= max(least, total / 5_000)).collect())
 
 
 def candidates(names: DataFrame, common: int = 60) -> DataFrame:
@@ -447,12 +498,13 @@ def candidates(names: DataFrame, common: int = 60) -> DataFrame:
     return a.join(b, "block").where("name_a < name_b").select("name_a", "name_b").distinct()
 
 
-def variant_classes(names: DataFrame, least: float = 0.8, common: int = 60) -> DataFrame:
-    """(name, cls) of all spellings that are linked with another one."""
+def variant_classes(names: DataFrame, least: float = 0.8, common: int = 60, learned: frozenset[str] | None = None) -> DataFrame:
+    """(name, cls) of all spellings that are linked with another one. learned: as learned_words gives them, which is the default."""
+    learned = learned_words(names) if learned is None else learned
     scored = cut(
         candidates(names, common)
         .repartition("name_a")
-        .mapInPandas(_score_udf, "name_a string, name_b string, score double, weak boolean, weak_a boolean, weak_b boolean")
+        .mapInPandas(_score(learned), "name_a string, name_b string, score double, weak boolean, weak_a boolean, weak_b boolean")
         .where(F.col("score") >= least)
     )
     strong = components(scored.where(~F.col("weak")).select(F.col("name_a").alias("src"), F.col("name_b").alias("dst")))
@@ -478,7 +530,9 @@ def variants(names: DataFrame, least: float = 0.8, common: int = 60) -> DataFram
     or family name is left out by an exact check at the end.
     """
     clean = names.where(F.col("name").isNotNull() & F.col("name").rlike(r"\p{L}")).select("name").distinct()
-    cls = cut(variant_classes(cut(clean), least, common))
+    clean = cut(clean)
+    learned = learned_words(clean)
+    cls = cut(variant_classes(clean, least, common, learned))
     a, b = cls.withColumnRenamed("name", "name_a"), cls.withColumnRenamed("name", "name_b")
     pairs = a.join(b, "cls").where("name_a < name_b").select("name_a", "name_b").distinct()
-    return pairs.mapInPandas(_same_udf, "name_a string, name_b string")
+    return pairs.mapInPandas(_same(learned), "name_a string, name_b string")

@@ -87,3 +87,16 @@ def test_classes_of_a_small_table_with_hot_blocks(spark):
 def test_all_suffixes_are_keys():
     keys = [k for k, _ in N.block_keys(N.parse("Ferretería Brutrogrevo S.L."))]
     assert {"s:revo", "s:grevo", "s:brutrogrevo"} <= set(keys)
+
+
+def test_unseen_trades_are_learned_from_the_corpus(spark):
+    """Bakers and fishmongers are in no list: as common words of the corpus they part names that are alike but for them."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4))
+    own = [word() for _ in range(40)]
+    rows = [f"{t} {w}" for w in own for t in ("Panaderia", "Pescaderia")] + [f"PANADERIA {own[0]}", f"Panad. {own[0]}", f"Panaderai {own[1]} S.A."]
+    df = spark.createDataFrame([(r,) for r in rows], "name string")
+    assert N.learned_words(df.distinct()) == {"panaderia", "pescaderia"}
+    got = {tuple(r) for r in N.variants(df).collect()}
+    assert not {p for p in got if ("escad" in p[0]) != ("escad" in p[1])}
+    assert {tuple(sorted(p)) for p in ((f"Panaderia {own[0]}", f"PANADERIA {own[0]}"), (f"Panaderia {own[0]}", f"Panad. {own[0]}"), (f"Panaderia {own[1]}", f"Panaderai {own[1]} S.A."))} <= got
