@@ -172,6 +172,32 @@ def clean(df: DataFrame) -> DataFrame:
     )
 
 
+#: The fields of a normal record, in order.
+RECORD = ("document_name", "supplier_name", "item_description", "quantity", "unit_price", "total_price", "currency", "delivery_date", "purchase_order_number", "unit_of_measurement", "technical_specifications")
+
+
+def clean_records(df: DataFrame, key: str) -> DataFrame:
+    """All eleven fields of normal records, cleaned, each with its entered twin `raw_value:<name>`, and the notes.
+
+    The supplier is the dictionary's name of the entered one or of one that the description names; the currency is the
+    first that the cleaned description names; a quantity that is no number is noted as such. NULL for missing.
+    """
+    text = {n: clean_text(F.col(n)) for n in RECORD if n not in ("quantity", "unit_price", "total_price", "currency")}
+    named = F.coalesce(text["supplier_name"], clean_text(supplier_from_text(F.col("item_description"))))
+    text["item_description"] = repair_zero_l(text["item_description"])
+    number = ~F.isnan("quantity")
+    cleaned = df.select(
+        key, *[F.col(n).alias(f"raw_value:{n}") for n in RECORD], *[c.alias(n) for n, c in text.items() if n != "supplier_name"], named.alias("_named"),
+        F.when(number, F.col("quantity")).alias("quantity"), F.when(number, quantity_note(F.col("quantity"))).when(~number, "failed_numeric_conversion").alias("quantity_notes"), "unit_price", "total_price",
+    )
+    known = F.broadcast(supplier_dictionary(df.sparkSession).withColumnRenamed("variant", "_variant"))  # twelve rows
+    cleaned = cleaned.join(known, F.upper("_named") == F.col("_variant"), "left").withColumn("_c", fx.currency_by_map(F.col("item_description")))
+    return cleaned.select(
+        key, *[c for n in RECORD for c in ({"supplier_name": F.coalesce("standard", "_named").alias(n), "currency": F.col("_c.code").alias(n)}.get(n, F.col(n)), F.col(f"`raw_value:{n}`"))],
+        F.col("_c.name").alias("currency_name"), F.col("_c.raw").alias("currency_raw_match"), "quantity_notes",
+    )
+
+
 def cleaning_report(df: DataFrame) -> DataFrame:
     """(field, found, distinct_values, nulls) of a clean table: one scan, values counted map-side before they are counted again."""
     names = ["supplier_name", "quantity", "currency", "item_description", "purchase_order_number"]

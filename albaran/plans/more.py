@@ -224,3 +224,36 @@ def first_pages_text(spark: SparkSession, d: str) -> DataFrame:
     docs = _docs(spark, d)
     kept = F.slice(F.filter(F.split("text", r"\n[ \t]*\n"), lambda x: fx.strip(x) != ""), 1, 3)
     return docs.select("doc_id", kept.alias("p")).where(F.size("p") > 0).select("doc_id", F.lower(F.array_join("p", "\n")).alias("text"))
+
+
+_SC = S.sub(S.clean("item_description"), "([A-Za-z])0([A-Za-z])", r"\1O\2")
+_FROM = f"coalesce(CASE {records._KNOWN} END, ".replace("text", "item_description") + ", ".join(f"nullif({S.strip(S.group('item_description', p))}, '')" for p in records._LABELS) + ")"
+_STD = "CASE " + " ".join(f"WHEN upper(nm) = '{v}' THEN '{k}'" for k, vs in Q.SUPPLIERS.items() for v in vs) + " ELSE nm END"
+
+
+@query(
+    f"""WITH c AS (SELECT *, coalesce({S.clean('supplier_name')}, {S.clean(_FROM)}) nm, CASE WHEN contains({_SC}, 'll') THEN {S.sub(_SC, 'l+', '1')} ELSE {_SC} END de FROM normalized_procurement),
+    m AS (SELECT *, de v FROM c), k AS (SELECT *, CASE {texts._CASES} END cm FROM m)
+    SELECT line_id, {S.clean('document_name')} AS document_name, {_STD} AS supplier_name, de AS item_description, CASE WHEN NOT isnan(quantity) THEN quantity END AS quantity, unit_price, total_price,
+    string_split(cm, '|')[1] AS currency, {', '.join(f"{S.clean(n)} AS {n}" for n in ('delivery_date', 'purchase_order_number', 'unit_of_measurement', 'technical_specifications'))},
+    {', '.join(f'{n} AS "raw_value:{n}"' for n in Q.RECORD)}, string_split(cm, '|')[2] AS currency_name, string_split(cm, '|')[3] AS currency_raw_match,
+    CASE WHEN isnan(quantity) THEN 'failed_numeric_conversion' WHEN quantity = 0 THEN 'quantity_is_zero' WHEN quantity > 1000000 THEN 'quantity_unusually_high' WHEN quantity < 0 THEN 'quantity_negative' END AS quantity_notes FROM k"""
+)
+def cleaned_records(spark: SparkSession, d: str) -> DataFrame:
+    """Whole clean records with the entered twin of every field."""
+    return Q.clean_records(spread(table(spark, d, "normalized_procurement")), "line_id")
+
+
+_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_CAPS = f"x = upper(x) AND x <> lower(x) AND NOT {S.has('x', r'[\p{Ll}]')} AND length(x) >= 4 AND {S.words('x')} BETWEEN 3 AND 10"
+_BY_LABEL = "coalesce(" + ", ".join(f"CASE WHEN length({S.squash(S.group('text', '(?i)' + p))}) >= 4 THEN {S.squash(S.group('text', '(?i)' + p))} END" for p in fx.SUPPLIER_LABELS) + ", '')"
+
+
+@query(
+    f"""WITH l AS (SELECT doc_id, text, {_BY_LABEL} by_label, list_filter(list_transform(regexp_split_to_array(text, {S.q(_ENDS)}), lambda x: {S.strip('x')}), lambda x: x <> '')[1:10] ls FROM documents),
+    f AS (SELECT doc_id, by_label, list_filter(ls, lambda x: {_CAPS}) fit FROM l)
+    SELECT doc_id, CASE WHEN by_label <> '' THEN by_label ELSE {S.squash(f"coalesce(list_filter(fit, lambda x: NOT {texts._TITLE})[1], fit[1], '')")} END AS supplier FROM f"""
+)
+def supplier_name(spark: SparkSession, d: str) -> DataFrame:
+    """By label, else a line in capitals."""
+    return texts.supplier_name(spark, d)
