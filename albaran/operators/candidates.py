@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from albaran.functions.text import ocr_score
+from albaran.functions.text import ocr_score, strip
+from albaran.operators.documents import is_scanned
 
 
 def best_readings(readings: DataFrame, least: float = 20.0) -> DataFrame:
@@ -86,3 +87,19 @@ def invoices(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
     values = [num, day.cast("string"), num, sup, F.lit(""), qty.cast("string"), F.concat(money(cents), F.lit(" "), cur), F.concat(money(cents * qty), F.lit(" "), cur), F.date_add(day, 30).cast("string")]
     text = lambda labels: F.concat_ws("\n", *[F.concat(F.lit(x), v) for x, v in zip(labels, values)])
     return r.select("doc_id", F.lit("clean").alias("category"), F.when(F.col("doc_id") % 4 == 3, text(es)).otherwise(text(en)).alias("text"))
+
+
+def text_or_ocr(pages: DataFrame, ocr: DataFrame) -> DataFrame:
+    """(document_name, page, text, method): pages whose text is too thin get that of the OCR where it has one.
+
+    pages, ocr: (document_name, page, text). A page that only the OCR has is its page.
+    """
+    o = ocr.select("document_name", "page", F.nullif(strip(F.col("text")), F.lit("")).alias("_ocr"))
+    both = pages.select("document_name", "page", "text").join(o, ["document_name", "page"], "full")
+    by_ocr = F.col("_ocr").isNotNull() & F.coalesce(is_scanned(F.col("text")), F.lit(True))
+    return both.select("document_name", "page", F.when(by_ocr, F.col("_ocr")).otherwise(F.col("text")).alias("text"), F.when(by_ocr, "ocr").otherwise("text").alias("method"))
+
+
+def page_header(c: Column, most: int = 10) -> Column:
+    """The first ten lines of a page that are not blank, as one: the header where the words have no places."""
+    return F.array_join(F.slice(F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != ""), 1, most), " ")

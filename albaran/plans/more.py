@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from albaran.functions import fields as fx
+from albaran.operators import candidates as C
 from albaran.operators import documents as D
 from albaran.operators import lines as L
 from albaran.operators import quality as Q
@@ -257,3 +258,24 @@ _BY_LABEL = "coalesce(" + ", ".join(f"CASE WHEN length({S.squash(S.group('text',
 def supplier_name(spark: SparkSession, d: str) -> DataFrame:
     """By label, else a line in capitals."""
     return texts.supplier_name(spark, d)
+
+
+@query(f"WITH {records._LOG} SELECT pipeline, count(*) AS documents, sum(seconds) AS seconds, count(*) / sum(seconds) AS per_second FROM lg GROUP BY pipeline")
+def batch_throughput(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, seconds and documents a second of the log; NULL where no time was taken."""
+    n, took = F.count(F.lit(1)), F.sum("seconds")
+    return records._logs(spark, d).groupBy("pipeline").agg(n.alias("documents"), took.alias("seconds"), F.try_divide(n, took).alias("per_second"))
+
+
+@query(
+    f"""SELECT doc, 'Document routed to ' || upper(route) || ' pipeline (confidence: ' || round(confidence * 100)::INT || '%)' AS explanation FROM ({SQL['route_records']})"""
+)
+def route_explanations(spark: SparkSession, d: str) -> DataFrame:
+    """One sentence for each route."""
+    percent = F.round(F.col("confidence") * 100).cast("int").cast("string")
+    return route_records(spark, d).select("doc", F.concat(F.lit("Document routed to "), F.upper("route"), F.lit(" pipeline (confidence: "), percent, F.lit("%)")).alias("explanation"))
+
+
+@query(f"WITH {texts._PAGES} SELECT doc, page, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '')[1:10], ' ') AS header FROM pages")
+def page_headers(spark: SparkSession, d: str) -> DataFrame:
+    return D.pages(_docs(spark, d)).select("doc", "page", C.page_header(F.col("text")).alias("header"))

@@ -22,9 +22,10 @@ EXTRACTED = (
     f"line_items array<{LINE_ITEM}>, subtotal string, tax string, total_amount string, confidence_score int, missing_fields array<string>, extraction_method string, error string"
 )
 CLASSIFICATION = "document_name string, document_type string, extraction_method string, classification_confidence string, file_size_mb double, text_ratio double, image_ratio double, mixed_ratio double"
-PAGES = "document_name string, page int, text string, error string"
+PAGES = "document_name string, page int, text string, error string, tables array<array<array<string>>>"
 
-PageReader = Callable[[bytes], list[str]]
+#: A page is its text, or its text and its tables (rows of cells).
+PageReader = Callable[[bytes], list[str | tuple[str, list[list[list[str]]]]]]
 
 
 def text_files(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
@@ -40,7 +41,7 @@ def binary_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Da
 
 
 def document_pages(files: DataFrame, reader: PageReader) -> DataFrame:
-    """(document_name, page, text, error): pages by a pluggable reader of bytes; a failing file gives one row with its error.
+    """(document_name, page, text, error, tables): pages by a pluggable reader of bytes; a failing file gives one row with its error.
 
     The reader runs in the Python workers, file by file; it may be a PDF library or OCR, where one is installed.
     """
@@ -49,18 +50,26 @@ def document_pages(files: DataFrame, reader: PageReader) -> DataFrame:
         for b in batches:
             for name, raw in zip(b["document_name"], b["content"]):
                 try:
-                    rows = [(name, i, t or "", None) for i, t in enumerate(reader(bytes(raw)), 1)]
+                    both = [t if isinstance(t, tuple) else (t, []) for t in reader(bytes(raw))]
+                    rows = [(name, i, t or "", None, tables) for i, (t, tables) in enumerate(both, 1)]
                 except Exception as e:  # one bad file must not end the job
-                    rows = [(name, 0, None, f"{type(e).__name__}: {e}"[:500])]
-                yield pd.DataFrame(rows, columns=["document_name", "page", "text", "error"])
+                    rows = [(name, 0, None, f"{type(e).__name__}: {e}"[:500], [])]
+                yield pd.DataFrame(rows, columns=["document_name", "page", "text", "error", "tables"])
 
     ship(files.sparkSession)
     return files.select("document_name", "content").mapInPandas(run, PAGES)
 
 
 def document_text(pages: DataFrame, separator: str = "\n--- PAGE %d ---\n", most_pages: int | None = None) -> DataFrame:
-    """(document_name, text): pages put together in their order, each under its heading; NULL pages are left out."""
+    """(document_name, text): pages put together in their order, each under its heading; NULL pages are left out.
+
+    The tables of a page, where pages has them, follow its text: a heading for each, a line for each row.
+    """
     p = pages.where("text is not null")
+    if "tables" in pages.columns:
+        row = lambda r: F.concat(F.array_join(r, " | ", ""), F.lit("\n"))
+        block = lambda t: F.concat(F.lit("\n--- TABLE ---\n"), F.array_join(F.transform(t, row), ""))
+        p = p.withColumn("text", F.concat("text", F.coalesce(F.array_join(F.transform("tables", block), ""), F.lit(""))))
     if most_pages:
         p = p.where(F.col("page") <= most_pages)
     each = F.array_sort(F.collect_list(F.struct("page", "text")))

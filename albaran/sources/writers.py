@@ -18,9 +18,28 @@ def to_csv(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite"
     df.select(*out).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def by_route(df: DataFrame, path: str, route: str, mode: str = "overwrite") -> None:
-    """One folder for each route; rows of one route are spread over as many files as there are tasks."""
-    df.write.mode(mode).partitionBy(route).option("ignoreNullFields", False).json(path)
+def by_route(df: DataFrame, path: str, route: str, mode: str = "overwrite", combined: bool = False) -> None:
+    """One folder for each route; rows of one route are spread over as many files as there are tasks.
+
+    combined: all routes together, too, in the folder `combined` beside them; the rows are computed for either.
+    """
+    df.write.mode(mode).partitionBy(route).option("ignoreNullFields", False).json(f"{path}/by_route" if combined else path)
+    if combined:
+        to_json(df, f"{path}/combined", mode)
+
+
+#: The fields of a classification with their values where they are missing.
+CLASSIFICATION = {
+    "document_name": "", "document_type": "unknown", "extraction_method": "manual_review", "classification_confidence": "UNKNOWN",
+    "file_size_mb": None, "text_ratio": None, "image_ratio": None, "mixed_ratio": None,
+}
+
+
+def classifications(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The eight fields of classified documents as JSON lines; missing columns and NULLs get the field's default."""
+    kind = lambda n: "double" if n.startswith("file") or n.endswith("ratio") else "string"
+    own = lambda n, v: F.coalesce(F.col(n), F.lit(v).cast(kind(n))) if n in df.columns else F.lit(v).cast(kind(n))
+    to_json(df.select(*[own(n, v).alias(n) for n, v in CLASSIFICATION.items()]), path, mode)
 
 
 def append_log(df: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 import json
 
+from albaran.operators import candidates as C
 from albaran.sources import readers as R
 from albaran.sources import writers as W
 from albaran.streaming import events as E
@@ -73,3 +74,24 @@ def test_stream_equals_batch(spark, tmp_path):
 def test_unique_documents(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "")], "id long, text string")
     assert E.unique_documents(df, "id", "text").count() == 2
+
+
+def test_tables_of_pages_combined_routes_and_classifications(spark, tmp_path):
+    files = spark.createDataFrame([("a.pdf", b"x"), ("b.pdf", b"")], "document_name string, content binary")
+    read = lambda raw: [("one", [[["a", None], ["b", "c"]]]), "two"] if raw else [1 / 0]
+    pages = R.document_pages(files, read)
+    assert {r.document_name: r.text for r in R.document_text(pages).collect()} == {"a.pdf": "\n--- PAGE 1 ---\none\n--- TABLE ---\na | \nb | c\n\n--- PAGE 2 ---\ntwo"}
+    df = spark.createDataFrame([("a", "p"), ("b", "q")], "k string, route string")
+    W.by_route(df, str(tmp_path / "r"), "route", combined=True)
+    assert spark.read.json(str(tmp_path / "r" / "combined")).count() == spark.read.json(str(tmp_path / "r" / "by_route")).count() == 2
+    W.classifications(spark.createDataFrame([("a.pdf", None, 0.5)], "document_name string, document_type string, text_ratio double"), str(tmp_path / "c"))
+    (got,) = R.json_lines(spark, str(tmp_path / "c"), R.CLASSIFICATION).collect()
+    assert tuple(got) == ("a.pdf", "unknown", "manual_review", "UNKNOWN", None, 0.5, None, None)
+
+
+def test_thin_pages_take_the_ocr(spark):
+    long = " ".join(["word"] * 40)
+    a = spark.createDataFrame([("d", 1, long), ("d", 2, "thin"), ("d", 3, ""), ("d", 4, None)], "document_name string, page int, text string")
+    b = spark.createDataFrame([("d", 1, "x"), ("d", 2, "read"), ("d", 3, " "), ("d", 5, "more")], "document_name string, page int, text string")
+    got = {r.page: (r.text, r.method) for r in C.text_or_ocr(a, b).collect()}
+    assert got == {1: (long, "text"), 2: ("read", "ocr"), 3: ("", "text"), 4: (None, "text"), 5: ("more", "ocr")}
