@@ -29,12 +29,14 @@ FIELD_PATTERNS = {
     "tax": [r"(?:Tax|VAT|IVA|Impuesto)[:\s]*\$?[\s]*([\d,.]+)"],
 }
 FIELD_PATTERNS = {k: [spaced(p) for p in v] for k, v in FIELD_PATTERNS.items()}
+# A price, and amounts by their label.
 PRICE = r"(?:[$€£]|USD|EUR|GBP|MXN|COP|ARS|CAD|AUD)?\s*([0-9]{1,3}(?:[.,][0-9]{3})*(?:[.,][0-9]{1,2})?)"
 LABELLED_AMOUNTS = {
     "subtotal": r"(?:Subtotal|Sub-total|Sub Total)[:\s]*[$€£]?\s*([\d,.]+)",
     "tax": r"(?:Tax|VAT|IVA|Impuesto|Impuesto Ventas)[:\s]*[$€£]?\s*([\d,.]+)",
     "total": r"(?:Total Amount|Total|Total Due|Monto Total|Importe Total|Total a Pagar)[:\s]*[$€£]?\s*([\d,.]+)",
 }
+# Numbers of documents by their prefix, strict and loose.
 STRICT_NUMBERS = [
     r"\bINV[-_]?([0-9A-Z]{4,15})\b",
     r"\bPO[-_]?([0-9A-Z]{4,15})\b",
@@ -51,10 +53,12 @@ LOOSE_NUMBERS = [
     r"\border\s*number\s*[:\-]?\s*([A-Z0-9\-/]+)",
     r"\bref(?:erence)?\s*[:\-]?\s*([A-Z0-9\-/]+)",
 ]
+# Labels of a supplier.
 SUPPLIER_LABELS = [
     r"\b(?:SUPPLIED?\s+BY|SUPPLIER|VENDOR|FROM)\b\s*[:\-]?\s*([A-Z][A-Z0-9\s&.,\-]{3,100})",
     r"\b(?:COMPANY|FIRM|FIRM NAME)\b\s*[:\-]?\s*([A-Z][A-Z0-9\s&.,\-]{3,100})",
 ]
+# Currencies by their words, marks and codes, in the order they are looked for.
 CURRENCY_MAP = [
     ("EUR", "€|EUR|EURO|€URO", "Euro"),
     ("USD", r"\$|USD|DÓLAR|DOLARES|DOLAR", "US Dollar"),
@@ -66,6 +70,7 @@ CURRENCY_MAP = [
 CURRENCY_SHORT = [("EUR", "€|EUR|EURO"), ("USD", r"\$|USD|DÓLAR"), ("GBP", "£|GBP|LIBRA"), ("MXN", "MXN|PESO"), ("COP", "COP|PESO"), ("ARS", "ARS|PESO")]
 CURRENCY_SYMBOLS = [("$", "USD"), ("£", "GBP"), ("€", "EUR"), ("¥", "JPY"), ("S/", "PEN")]
 CURRENCY_CODES = "USD GBP EUR CAD AUD MXN COP ARS PEN BRL INR CNY JPY CHF SEK NOK DKK NZD ZAR HKD SGD THB MYR PHP IDR VND".split()
+# Dates as they are written, kinds of documents, words of titles, key words of specifications.
 DATES = [
     r"(\d{1,2}[/-]\d{1,2}[/-]\d{2,4})",
     r"(\d{1,2}\s+(?:de\s+)?(?:enero|febrero|marzo|abril|mayo|junio|julio|agosto|septiembre|octubre|noviembre|diciembre)\s+\d{4})",

@@ -15,6 +15,11 @@ SPECIFICATION_WORDS = [
     "specification", "especificación", "technical sheet", "hoja técnica", "datasheet", "product datasheet", "requirements", "requisitos", "technical details",
     "detalles técnicos", "standard", "norma", "norm",
 ]
+# Words of the text signals of a route, and the markers of the check of texts.
+PROCUREMENT_SIGNAL = "total|subtotal|tax|cantidad|precio"
+SPECIFICATION_SIGNALS = ("specification|requirement|standard|norm|datasheet|technical|feature|characteristic", "material|dimension|weight|temperature|voltage|current")
+MARKERS = {"number": "INVOICE|FACTURA|INV-", "year": "2024|2025", "amount": r"Total|Amount|\$|€|USD|EUR", "quantity": "Quantity|Cantidad"}
+CORRUPTED = r"\?|@@@|%%%%"
 MISSING_ORDER = ("supplier", "invoice_or_po_number", "issue_date", "currency", "line_items", "subtotal", "tax", "total_amount")
 CRITICAL = ("supplier", "invoice_or_po_number", "issue_date", "total_amount")
 TOLERANCE = 0.05
@@ -82,9 +87,9 @@ def route_scores(docs: DataFrame, key: str, text: str, record: dict[str, str] |
         priced = has["subtotal"] | has["total"]
         p = p + points(has["supplier"], 2) + points(has["number"], 2) + points(priced, 2) + points(has["date"], 1)
         s = s + points(~has["supplier"], 1.5) + points(~priced, 2) + points(~has["date"], 1.5)
-    p = p + points(low.rlike("total|subtotal|tax|cantidad|precio"), 1)
-    s = s + points(low.rlike("specification|requirement|standard|norm|datasheet|technical|feature|characteristic"), 1)
-    s = s + points(low.rlike("material|dimension|weight|temperature|voltage|current"), 1)
+    p = p + points(low.rlike(PROCUREMENT_SIGNAL), 1)
+    s = s + points(low.rlike(SPECIFICATION_SIGNALS[0]), 1)
+    s = s + points(low.rlike(SPECIFICATION_SIGNALS[1]), 1)
     return docs.select(F.col(key).alias("doc"), F.least(p / 10, F.lit(1.0)).alias("procurement"), F.least(s / 10, F.lit(1.0)).alias("specification"), *[c.alias(n) for n, c in keep.items()])
 
 
@@ -183,12 +188,12 @@ def marker_confidence(docs: DataFrame, key: str = "doc_id", text: str = "text")
     c = F.coalesce(F.col(text), F.lit(""))
     one = lambda cond: F.when(cond, 25).otherwise(0)
     n = (
-        one(F.upper(c).rlike("INVOICE|FACTURA|INV-"))
-        + one(c.rlike("2024|2025"))
-        + one(c.rlike(r"Total|Amount|\$|€|USD|EUR"))
-        + one(c.rlike("Quantity|Cantidad"))
+        one(F.upper(c).rlike(MARKERS["number"]))
+        + one(c.rlike(MARKERS["year"]))
+        + one(c.rlike(MARKERS["amount"]))
+        + one(c.rlike(MARKERS["quantity"]))
     )
-    bad, short = c.rlike(r"\?|@@@|%%%%"), F.length(strip(c)) < 20
+    bad, short = c.rlike(CORRUPTED), F.length(strip(c)) < 20
     status = F.when(short, "FAILED").when(bad, "WARNING").otherwise("SUCCESS")
     score = F.when(short, 0).when(bad, F.greatest(F.lit(0), n - 30)).otherwise(n)
     return docs.select(F.col(key).alias("doc"), "category", status.alias("status"), score.cast("int").alias("confidence"))

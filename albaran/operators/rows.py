@@ -195,11 +195,6 @@ def technical(c: Column) -> Column:
     return F.coalesce(F.lower(c).rlike(TECHNICAL_FLAG), F.lit(False))
 
 
-def default_schema() -> dict[str, int]:
-    """Columns of a table whose schema can't be told."""
-    return {"description": 0, "quantity": 1, "unit_price": 2, "total_amount": 3}
-
-
 def route_records(records: DataFrame, key: str, text: str, record: dict[str, str], priced: Column, lines: str = "lines") -> DataFrame:
     """(doc, procurement, specification, route, confidence, confident) of extracted records with all signals.
 

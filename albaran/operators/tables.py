@@ -159,6 +159,7 @@ def _clamp(x: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
 
 
+# Fixed values in the scorers below: the weights and bounds of each role.
 def score_cells(rows: DataFrame) -> DataFrame:
     """rows with the arrays s_description, s_quantity, s_unit_price, s_total_amount: how well each cell fits each role."""
     df = rows.withColumn("_v", F.transform("cells", _value)).withColumn("_p", F.filter("_v", lambda v: v > 0))
@@ -300,3 +301,22 @@ def range_repair(mapped: DataFrame, low: float = 1.0, high: float = 10000.0) ->
     out = lambda r: usable & (F.col(r) != "") & ~_value(F.col(r)).between(low, high)
     fix = {"quantity": F.get("_ok", F.lit(0)), "unit_price": F.get("_ok", F.floor(F.size("_ok") / 2).cast("int")), "total_amount": F.get("_ok", F.size("_ok") - 1)}
     return df.select("doc", "row_no", "description", *[F.when(out(r), v.cast("string")).otherwise(F.col(r)).alias(r) for r, v in fix.items()])
+
+
+# The columns of a table whose schema can't be told.
+DEFAULT_SCHEMA = {"description": 0, "quantity": 1, "unit_price": 2, "total_amount": 3}
+
+
+def parse_rows(rows: DataFrame, schema: DataFrame) -> DataFrame:
+    """(doc, row_no, the four roles) of the rows of tables: cells by the schema, blanks filled from the scores, then the range repair.
+
+    A table without a schema has the default one. A description that is a number is blank. Header rows and rows without
+    any value give nothing.
+    """
+    scored = scored_fields(rows.where(~is_header_row(F.col("cells")))).withColumnsRenamed({r: f"_f_{r}" for r in ROLES})
+    told = schema.select("doc", *[F.col(r).alias(f"_c_{r}") for r in ROLES], F.lit(True).alias("_told"))
+    df = scored.join(told, "doc", "left")
+    cell = {r: F.coalesce(squash(F.get("cells", F.when(F.col("_told"), F.col(f"_c_{r}")).otherwise(F.lit(DEFAULT_SCHEMA[r])))), F.lit("")) for r in ROLES}
+    cell["description"] = F.when(_numeric_only(cell["description"]), F.lit("")).otherwise(cell["description"])
+    df = df.select("doc", "row_no", "cells", *[F.when(c != "", c).otherwise(F.col(f"_f_{r}")).alias(r) for r, c in cell.items()])
+    return range_repair(settle(df, *ROLES)).where(F.concat(*ROLES) != "")

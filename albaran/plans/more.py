@@ -11,6 +11,7 @@ from albaran.operators import documents as D
 from albaran.operators import lines as L
 from albaran.operators import quality as Q
 from albaran.operators import rows as R
+from albaran.operators import tables as T
 from albaran.plans import records, texts
 from albaran.plans import sqltext as S
 from albaran.session import spread, table
@@ -279,3 +280,10 @@ def route_explanations(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {texts._PAGES} SELECT doc, page, array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: {S.strip('x')}), lambda x: x <> '')[1:10], ' ') AS header FROM pages")
 def page_headers(spark: SparkSession, d: str) -> DataFrame:
     return D.pages(_docs(spark, d)).select("doc", "page", C.page_header(F.col("text")).alias("header"))
+
+
+@query()
+def parsed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of tables by schema, scores and range repair; its parts have SQL or plain loops of their own."""
+    r = records._rows(spark, d)
+    return T.parse_rows(r, T.infer_schema(r))

@@ -72,3 +72,13 @@ def test_a_cluster_needs_a_shared_checkpoint_folder():
 
     with pytest.raises(ValueError):
         session.checkpoint_folder(Session())
+
+
+def test_parsed_rows(spark):
+    rows = [(1, 0, ["Description", "Qty", "Unit Price", "Total"]), (1, 1, ["galvanised steel pipes", "2", "$ 5.50", "$ 11.00"]), (1, 2, ["12", "", "", ""]), (1, 3, ["", "", "", ""]), (2, 0, ["blue cable on wooden drums", "3", "4.25", "12.75"])]
+    df = spark.createDataFrame(rows, "doc int, row_no int, cells array<string>")
+    schema = spark.createDataFrame([(1, 0, 1, None, 3)], "doc int, description int, quantity int, unit_price int, total_amount int")
+    got = {(r.doc, r.row_no): (r.description, r.quantity, r.unit_price, r.total_amount) for r in T.parse_rows(df, schema).collect()}
+    assert got[(1, 1)][0] == "galvanised steel pipes" and got[(1, 1)][1] == "2" and got[(1, 1)][3] == "$ 11.00"
+    assert got[(2, 0)] == ("blue cable on wooden drums", "3", "4.25", "12.75") and (1, 0) not in got and (1, 3) not in got
+    assert T.parse_rows(df.limit(0), schema).count() == 0
