@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,6 +91,44 @@ def invoices(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
     return r.select("doc_id", F.lit("clean").alias("category"), F.when(F.col("doc_id") % 4 == 3, text(es)).otherwise(text(en)).alias("text"))
 
 
+def specification_sheets(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
+    """(doc_id, category, text): n data sheets of parts; made from the row number alone, at any size."""
+    r = spark.range(n).withColumnRenamed("id", "doc_id")
+    pick = lambda what, low, high: (F.pmod(F.xxhash64("doc_id", F.lit(what), F.lit(seed)), F.lit(high - low + 1)) + low).cast("string")
+    made = F.element_at(F.split(F.lit("Steel Aluminium Brass Composite"), " "), pick("made", 1, 4).cast("int"))
+    lines = [
+        F.lit("DATA SHEET OF A PART"), F.concat(F.lit("Sheet: SPEC-"), F.lpad((F.col("doc_id") + 1).cast("string"), 4, "0")), F.concat(F.lit("Part Number: PART-"), pick("part", 10000, 99999)),
+        F.concat(F.lit("Dimensions: "), pick("w", 100, 500), F.lit(" mm x "), pick("h", 50, 300), F.lit(" mm")), F.concat(F.lit("Weight: "), pick("kg", 1, 50), F.lit(" kg")), F.concat(F.lit("Material: "), made),
+        F.concat(F.lit("Temperature: -"), pick("cold", 0, 40), F.lit(" to "), pick("hot", 60, 150), F.lit(" degrees")), F.concat(F.lit("Pressure: "), pick("psi", 100, 1000), F.lit(" PSI")),
+    ]
+    return r.select("doc_id", F.lit("specification").alias("category"), F.concat_ws("\n", *lines).alias("text"))
+
+
+#: Documents that checks must stand: without fields, corrupted, hardly any text, read from behind, in two languages.
+EDGE = {
+    "missing fields": "INVOICE\nDate: 2024-06-24\nQuantity: 50",
+    "corrupted": "ÍÑVØÍÇÉ #2024001\nDäté: ¿¿¿¿\nQuäntîty: %%%%\nTötäl: @@@",
+    "minimal": "Paper",
+    "from behind": "ECIOVNI\n1004202\n:ytitnauQ\n05 :latoT",
+    "two languages": "INVOICE 2024001 / FACTURA 2024001\nSupplier / Proveedor: Alba\nQuantity / Cantidad: 5\nTotal: 50.00 EUR",
+}
+
+
+def made_documents(spark: SparkSession, n: int, seed: int = 1) -> DataFrame:
+    """(doc_id, category, text): n documents, of nine four clean invoices, two scanned ones, two specifications and one edge case."""
+    kind = F.col("doc_id") % 9
+    clean = invoices(spark, n, seed)
+    sheets = specification_sheets(spark, n, seed)
+    edge = F.element_at(F.array(*[F.lit(t) for t in EDGE.values()]), (F.floor(F.col("doc_id") / 9) % len(EDGE) + 1).cast("int"))
+    parts = [
+        clean.where(kind < 4),
+        degrade(clean.where(kind.between(4, 5)), "doc_id", "text", seed=seed).select("doc_id", F.lit("scanned").alias("category"), F.col("degraded").alias("text")),
+        sheets.where(kind.between(6, 7)),
+        spark.range(n).withColumnRenamed("id", "doc_id").where(kind == 8).select("doc_id", F.lit("edge").alias("category"), edge.alias("text")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def text_or_ocr(pages: DataFrame, ocr: DataFrame) -> DataFrame:
     """(document_name, page, text, method): pages whose text is too thin get that of the OCR where it has one.
 

@@ -287,3 +287,10 @@ def parsed_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows of tables by schema, scores and range repair; its parts have SQL or plain loops of their own."""
     r = records._rows(spark, d)
     return T.parse_rows(r, T.infer_schema(r))
+
+
+@query()
+def generated_documents(spark: SparkSession, d: str) -> DataFrame:
+    """The four kinds of made documents, as many as there are in the table, through the marker check, by kind."""
+    made = C.made_documents(spark, table(spark, d, "documents").count())
+    return D.harness_metrics(D.marker_confidence(made), ["category"])

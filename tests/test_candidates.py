@@ -59,3 +59,14 @@ def test_all_line_items_of_a_long_invoice(spark):
     assert L.line_items(df, "k", "t").count() == 20
     got = L.line_items(df, "k", "t", most=None, width=None).orderBy("line_no").collect()
     assert [r.line_no for r in got] == list(range(32)) and got[-1].description.endswith("B Qty: 33")
+
+
+def test_made_documents_of_all_kinds(spark):
+    rows = C.made_documents(spark, 90).collect()
+    kinds = {}
+    for r in rows:
+        kinds.setdefault(r.category, []).append(r)
+    assert {k: len(v) for k, v in kinds.items()} == {"clean": 40, "scanned": 20, "specification": 20, "edge": 10}
+    assert len({r.doc_id for r in rows}) == 90 and all("Part Number: PART-" in r.text for r in kinds["specification"])
+    assert {r.text for r in kinds["edge"]} == set(C.EDGE.values())
+    assert C.made_documents(spark, 0).count() == 0
