@@ -294,3 +294,23 @@ def generated_documents(spark: SparkSession, d: str) -> DataFrame:
     """The four kinds of made documents, as many as there are in the table, through the marker check, by kind."""
     made = C.made_documents(spark, table(spark, d, "documents").count())
     return D.harness_metrics(D.marker_confidence(made), ["category"])
+
+
+def _extraction_sql() -> str:
+    """The whole chain from text to record, for two queries of plans.texts."""
+    first = lambda k: f"coalesce({S.first_of('text', texts._F[k])}, '')"
+    amount = texts._amount_sql
+    gone = [f"CASE WHEN {n} = '' THEN '{n}' END" for n in D.MISSING_ORDER[:4]] + ["CASE WHEN n_items = 0 THEN 'line_items' END"] + [f"CASE WHEN coalesce({n}, 0) = 0 THEN '{n}' END" for n in D.MISSING_ORDER[5:]]
+    return (
+        texts._ITEMS
+        + f""", ni AS (SELECT doc, count(*) n FROM f WHERE m <= 20 GROUP BY doc),
+    ex AS (SELECT doc_id doc, {first('supplier')} supplier, {first('invoice_po')} invoice_or_po_number, {first('date')} issue_date, {first('currency')} currency, {amount('subtotal')} subtotal, {amount('tax')} tax,
+      coalesce({amount('total')}, list_max({texts._PRICES})) total_amount, CAST({texts._CONF} AS INTEGER) quality, coalesce(n, 0) n_items FROM documents LEFT JOIN ni ON ni.doc = doc_id),
+    ms AS (SELECT *, list_filter([{', '.join(gone)}], lambda x: x IS NOT NULL) mf FROM ex),
+    xc AS (SELECT *, greatest(0, least(100, floor((8 - len(mf)) / 8 * 100) + floor(quality * 0.5) - 10 * len(list_filter(mf, lambda x: x IN ('supplier', 'invoice_or_po_number', 'total_amount')))))::INT confidence FROM ms)
+    """
+    )
+
+
+SQL["extraction_confidence"] = _extraction_sql() + "SELECT doc, supplier, invoice_or_po_number, issue_date, currency, n_items, array_to_string(mf, ',') AS missing_fields, confidence FROM xc"
+SQL["extraction_summary"] = _extraction_sql() + "SELECT count(*) AS total, avg(confidence) AS average_confidence, sum(n_items)::BIGINT AS line_items, sum(len(mf))::BIGINT AS missing FROM xc"
