@@ -314,3 +314,9 @@ def _extraction_sql() -> str:
 
 SQL["extraction_confidence"] = _extraction_sql() + "SELECT doc, supplier, invoice_or_po_number, issue_date, currency, n_items, array_to_string(mf, ',') AS missing_fields, confidence FROM xc"
 SQL["extraction_summary"] = _extraction_sql() + "SELECT count(*) AS total, avg(confidence) AS average_confidence, sum(n_items)::BIGINT AS line_items, sum(len(mf))::BIGINT AS missing FROM xc"
+_S0 = _S.split("::DOUBLE + ")[0].removeprefix("least(") + "::DOUBLE"  # without the technical lines, which these texts don't have
+SQL["route_with_signals"] = (
+    _extraction_sql()
+    + f""", rt AS (SELECT xc.doc, lower(text) t, supplier su, invoice_or_po_number nu, issue_date dt, subtotal IS NOT NULL OR total_amount IS NOT NULL pr FROM xc JOIN documents ON doc_id = xc.doc WHERE text IS NOT NULL)
+    SELECT doc, {_P} AS procurement, {_S0} AS specification FROM rt"""
+)
