@@ -320,3 +320,9 @@ SQL["route_with_signals"] = (
     + f""", rt AS (SELECT xc.doc, lower(text) t, supplier su, invoice_or_po_number nu, issue_date dt, subtotal IS NOT NULL OR total_amount IS NOT NULL pr FROM xc JOIN documents ON doc_id = xc.doc WHERE text IS NOT NULL)
     SELECT doc, {_P} AS procurement, {_S0} AS specification FROM rt"""
 )
+SQL["anti_join_text_items"] = (
+    texts._ITEMS
+    + f""", cl AS (SELECT doc, line_no, line description FROM lines WHERE {S.has('lower(line)', L.CANDIDATE)} OR ({S.has('line', L.NUMBER_LIKE)} AND length(line) > 20)),
+    fr AS (SELECT *, row_number() OVER (PARTITION BY doc, description ORDER BY line_no) k FROM cl WHERE NOT EXISTS (SELECT 1 FROM f WHERE m <= 20 AND f.doc = cl.doc AND f.description = cl.description))
+    SELECT doc, description, line_no FROM fr WHERE k = 1"""
+)
