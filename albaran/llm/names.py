@@ -4,8 +4,8 @@ Suffix blocking: all token suffixes from a minimum length on are the index; a tr
 tokens whose end is misread. A key that too many names share (``common``) is refined with the other fields of the name
 first, and only then discarded: the shortest suffix and the fields have refined keys, and of a longer suffix the names
 are among those of its end. So every name keeps its keys, but a pair that has nothing but common keys in common, and none
-of the refined ones, is not compared; the README has the measured loss. Pairs of a block are compared by
-the longest-common-subsequence ratio of their tokens. Beside the fixed lists of trades and given names, words that stand
+of the refined ones, is not compared; the README has the measured loss. The names of a block are compared where they meet,
+by the longest-common-subsequence ratio of their tokens; pairs that can't reach it are passed over by exact bounds. Beside the fixed lists of trades and given names, words that stand
 beside many different ones are learned from the corpus: two names with different ones are not one supplier's. Spellings whose tokens are all written out are joined into
 classes first; spellings with initials or a missing family name then join the class they fit, if at least three quarters of the
 written-out spellings they fit are of one class.
@@ -21,12 +21,13 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from albaran.llm.graph import components
-from albaran.session import cut, ship
+from albaran.session import cut, ship, spread
 
 # Legal forms, written without points and accents.
 LEGAL = """
@@ -201,6 +202,9 @@ class Name:
         if len(rest) > 1 and words[0] == rest[0] and any(lcs_ratio(rest[0], x) >= 0.8 for x in ("grupo", "group", "empresa", "proveedor", "supplier")):
             rest = rest[1:]
         self.core = rest
+        self._judge()
+
+    def _judge(self) -> None:
         self.vague = not self.trade and not self.given and not self.initials
         self.weak = self.vague or not self.trade and (bool(self.initials) or len(self.core) < 2)
 
@@ -425,23 +429,176 @@ def block_keys(n: Name, shortest: int = 4, head: int = 3) -> list[tuple[str, str
     return list(dict.fromkeys(out))
 
 
+def _told(n: Name) -> str:
+    """A parsed name in one string: names are parsed once, and every later stage reads this."""
+    return "\t".join([",".join(sorted(n.trade)), ",".join(sorted(n.given)), ",".join(n.initials), ",".join(n.core)])
+
+
+@lru_cache(maxsize=100_000)
+def _read(told: str) -> Name:
+    n = object.__new__(Name)
+    trade, given, initials, core = (x.split(",") if x else [] for x in told.split("\t"))
+    n.trade, n.given, n.initials, n.core = set(trade), set(given), initials, core
+    n._judge()
+    return n
+
+
+def _parse_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield pd.DataFrame({"name": b["name"], "told": [_told(parse(x)) for x in b["name"]]})
+
+
+def parsed(names: DataFrame) -> DataFrame:
+    """(name, told) of distinct names, each parsed once. names: (name), or what this gives."""
+    if "told" in names.columns:
+        return names
+    ship(names.sparkSession)
+    return cut(spread(cut(names.select("name"))).mapInPandas(_parse_udf, "name string, told string"))
+
+
 def _keys_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
-        for name in b["name"]:
-            n = parse(name)
-            if n.core:
-                rows += [(name, k, r) for k, r in block_keys(n)]
-        yield pd.DataFrame(rows, columns=["name", "key", "refined"])
+        for name, told in zip(b["name"], b["told"]):
+            keys: dict[str, list[str]] = {}
+            for k, r in block_keys(_read(told)):
+                keys.setdefault(k, []).extend([r] if r else [])
+            rows += [(name, told, k, r) for k, r in keys.items()]
+        yield pd.DataFrame(rows, columns=["name", "told", "key", "refined"])
 
 
-def _score(learned: frozenset[str]):
+LETTERS = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789")}
+
+
+class Filter:
+    """Which pairs of a frame's names can reach `least` at all: exact bounds of ``similarity``, for many pairs at once.
+
+    A score is a mean of token ratios, so one pair of tokens has to reach it, or be a word and its cut-off form, or the
+    letters of all words of two companies have to be alike. Trades and given names that differ end it before.
+    """
+
+    def __init__(self, names: list[Name], least: float):
+        self.least = least - 1e-9
+        code: dict[tuple, int] = {(): 0}
+        number = lambda xs: np.array([code.setdefault(tuple(sorted(x)), len(code)) for x in xs])
+        self.trade, self.given = number(n.trade for n in names), number(n.given for n in names)
+        self.one_given = np.array([len(n.given) == 1 for n in names])
+        self.vague = np.array([n.vague for n in names])
+        tokens: dict[str, int] = {}
+        lists = [[tokens.setdefault(t, len(tokens)) for t in n.core] for n in names]
+        self.many = np.array([len(x) for x in lists])
+        self.first = np.cumsum(self.many) - self.many
+        self.token = np.array([t for x in lists for t in x])
+        words = list(tokens)
+        self.size = np.array([len(w) for w in words])
+        width = min(63, int(self.size.max(initial=1)))
+        self.counts = np.zeros((len(words), len(LETTERS)), np.int16)
+        self.letters = np.zeros((len(words), width), np.int64)
+        self.masks = np.zeros((len(words), len(LETTERS)), np.uint64)
+        for i, w in enumerate(words):
+            at = [LETTERS[c] for c in w]
+            np.add.at(self.counts[i], at, 1)
+            for k, c in enumerate(at[:width]):
+                self.letters[i, k] = c
+                self.masks[i, c] |= np.uint64(1 << k)
+        head = {x: i for i, x in enumerate({w[:2] for w in words})}
+        self.head = np.array([head[w[:2]] for w in words])
+        self.all_counts = np.add.reduceat(self.counts[self.token], self.first, axis=0)
+        self.all_size = np.add.reduceat(self.size[self.token], self.first)
+
+    def _lcs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """LCS of pairs of tokens of up to 63 letters, by bit-parallel rows."""
+        full = (np.uint64(1) << self.size[x].astype(np.uint64)) - np.uint64(1)
+        v = full.copy()
+        for k in range(int(self.size[y].max(initial=0))):
+            u = v & self.masks[x, self.letters[y, k]]
+            v = np.where(k < self.size[y], (v + u | v - u) & full, v)
+        return self.size[x] - np.bitwise_count(v)
+
+    def _near(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Tokens whose ratio can count as `least`."""
+        short, both = np.minimum(self.size[x], self.size[y]), self.size[x] + self.size[y]
+        common = np.minimum(self.counts[x], self.counts[y]).sum(axis=1)
+        hit = (common == short) & (self.head[x] == self.head[y])
+        maybe = np.flatnonzero(~hit & (2 * common >= self.least * both))
+        long_ = np.maximum(self.size[x[maybe]], self.size[y[maybe]]) > 63
+        hit[maybe[long_]] = True
+        maybe = maybe[~long_]
+        hit[maybe[2 * self._lcs(x[maybe], y[maybe]) >= self.least * both[maybe]]] = True
+        return hit
+
+    def __call__(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """The numbers of the pairs that are left."""
+        tp, tq = self.trade[p], self.trade[q]
+        fine = np.where((self.vague[p] != self.vague[q]) & ((tp > 0) | (tq > 0)), True, tp == tq)
+        fine &= (tp > 0) | (tq > 0) | ~(self.one_given[p] & self.one_given[q]) | (self.given[p] == self.given[q])
+        left = np.flatnonzero(fine)
+        p, q = p[left], q[left]
+        n = self.many[p] * self.many[q]
+        pair = np.repeat(np.arange(len(left)), n)
+        spot = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+        wide = self.many[q][pair]
+        x, y = self.token[self.first[p][pair] + spot // wide], self.token[self.first[q][pair] + spot % wide]
+        hit = np.zeros(len(left), bool)
+        hit[pair[self._near(x, y)]] = True
+        firm = np.flatnonzero(~hit & (self.trade[p] > 0) & (self.trade[p] == self.trade[q]))
+        a, b = p[firm], q[firm]
+        hit[firm] = 2 * np.minimum(self.all_counts[a], self.all_counts[b]).sum(axis=1) >= (0.85 - 1e-9) * (self.all_size[a] + self.all_size[b])
+        return left[hit]
+
+
+def _pairs(block: np.ndarray, most: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one block, some `most` at once. block: sorted."""
+    ends = np.searchsorted(block, block, side="right")
+    rows = np.arange(len(block))
+    n = ends - rows - 1
+    upto = np.cumsum(n)
+    start = 0
+    while start < len(block):
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + most, side="right")))
+        mine = n[start:stop]
+        p = np.repeat(rows[start:stop], mine)
+        if len(p):
+            yield p, p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(mine) - mine, mine)
+        start = stop
+
+
+def _whole_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames of whole blocks: rows come sorted by block, and a block may go over several batches."""
+    left: list[pd.DataFrame] = []
+    for b in batches:
+        if not len(b):
+            continue
+        block = b["block"].to_numpy()
+        last = int(np.searchsorted(block, block[-1]))  # where the block that may go on starts
+        if last or left and left[-1]["block"].iat[-1] != block[0]:
+            yield pd.concat([*left, b.iloc[:last]], ignore_index=True)
+            left = [b.iloc[last:]]
+        else:
+            left.append(b)
+    if left:
+        yield pd.concat(left, ignore_index=True)
+
+
+def _score(learned: frozenset[str], least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for x, y in zip(b["name_a"], b["name_b"]):
-                p, q = parse(x), parse(y)
-                rows.append((x, y, 0.0 if other_words(p, q, learned) else similarity(p, q), p.weak or q.weak, p.weak, q.weak))
+        for b in _whole_blocks(batches):
+            block, rows = b["block"].to_numpy(), []
+            many = np.ones(len(b), bool)
+            many[:-1] = block[1:] == block[:-1]
+            many[1:] |= block[1:] == block[:-1]
+            many[0] = len(b) > 1 and block[0] == block[1]
+            block, name, told = block[many], b["name"].to_numpy()[many], b["told"].to_numpy()[many]
+            if not len(block):
+                continue
+            names = [_read(t) for t in told]
+            can = Filter(names, least)
+            for i, j in _pairs(block):
+                for k in can(i, j):
+                    (x, p), (y, q) = sorted(((name[m], names[m]) for m in (i[k], j[k])), key=lambda z: z[0])
+                    score = 0.0 if other_words(p, q, learned) else similarity(p, q)
+                    if score >= least and x != y:
+                        rows.append((x, y, score, p.weak or q.weak, p.weak, q.weak))
             yield pd.DataFrame(rows, columns=["name_a", "name_b", "score", "weak", "weak_a", "weak_b"])
 
     return run
@@ -450,7 +607,8 @@ def _score(learned: frozenset[str]):
 def _same(learned: frozenset[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[[not conflict(p := parse(x), q := parse(y)) and not other_words(p, q, learned) for x, y in zip(b["name_a"], b["name_b"])]]
+            told = zip(map(_read, b["told_a"]), map(_read, b["told_b"]))
+            yield b.loc[[not conflict(p, q) and not other_words(p, q, learned) for p, q in told], ["name_a", "name_b"]]
 
     return run
 
@@ -458,8 +616,8 @@ def _same(learned: frozenset[str]):
 def _words_udf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
-        for name in b["name"]:
-            n = parse(name)
+        for told in b["told"]:
+            n = _read(told)
             if n.vague and len(n.core) > 1:
                 rows += [(w, " ".join(x for x in n.core if x != w)) for w in set(n.core) if len(w) >= 4]
         yield pd.DataFrame(rows, columns=["word", "beside"])
@@ -471,42 +629,34 @@ def learned_words(names: DataFrame, least: int = 20) -> frozenset[str]:
     A word counts from `least` different companions on, and from a 5,000th of all (name, word) pairs, so that there are
     at most 5,000 such words, whatever the corpus.
     """
-    ship(names.sparkSession)
-    pairs = names.mapInPandas(_words_udf, "word string, beside string").distinct()
+    pairs = parsed(names).mapInPandas(_words_udf, "word string, beside string").distinct()
     counts = cut(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     return frozenset(r["word"] for r in counts.where(F.col("n") >= max(least, total / 5_000)).collect())
 
 
-def candidates(names: DataFrame, common: int = 60) -> DataFrame:
-    """Pairs (name_a, name_b) that share a block. names: (name), distinct.
+def scored_pairs(names: DataFrame, learned: frozenset[str], least: float = 0.8, common: int = 60) -> DataFrame:
+    """(name_a, name_b, score, weak, weak_a, weak_b): the pairs that share a block and reach `least`. names: (name), distinct.
 
     An index key that more than `common` names share is replaced by its refined keys; a refined block that is still as
-    large is compared whole.
+    large is compared whole. The names of a block meet in one task, so pairs are never written: what goes to disk grows
+    as the names do, and only pairs that reach `least` come out.
     """
-    ship(names.sparkSession)
-    # One name gives few keys; the sizes come from a map-side combined count.
-    keyed = cut(names.mapInPandas(_keys_udf, "name string, key string, refined string"))
-    size = keyed.groupBy("key").agg(F.count_distinct("name").alias("size"))
-    block = (
-        keyed.join(size, "key")
-        .select("name", F.when(F.col("size") > common, F.col("refined")).otherwise(F.col("key")).alias("block"))
-        .where("block is not null")
-        .distinct()
-    )
-    a, b = block.withColumnRenamed("name", "name_a"), block.withColumnRenamed("name", "name_b")
-    return a.join(b, "block").where("name_a < name_b").select("name_a", "name_b").distinct()
+    # Keys and blocks are hashes: two that fall together are only compared together.
+    keyed = parsed(names).mapInPandas(_keys_udf, "name string, told string, key string, refined array<string>")
+    keyed = keyed.withColumns({"key": F.xxhash64("key"), "refined": F.transform("refined", lambda r: F.xxhash64(r))})
+    # A name has a key once; the sizes come from a map-side combined count.
+    hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > common).select("key", F.lit(True).alias("hot"))
+    block = keyed.join(hot, "key", "left").select("name", "told", F.explode(F.when(F.col("hot"), F.array_distinct("refined")).otherwise(F.array("key"))).alias("block"))
+    kinds = "name_a string, name_b string, score double, weak boolean, weak_a boolean, weak_b boolean"
+    return block.repartition("block").sortWithinPartitions("block").mapInPandas(_score(learned, least), kinds).distinct()
 
 
 def variant_classes(names: DataFrame, least: float = 0.8, common: int = 60, learned: frozenset[str] | None = None) -> DataFrame:
     """(name, cls) of all spellings that are linked with another one. learned: as learned_words gives them, which is the default."""
+    names = parsed(names)
     learned = learned_words(names) if learned is None else learned
-    scored = cut(
-        candidates(names, common)
-        .repartition("name_a")
-        .mapInPandas(_score(learned), "name_a string, name_b string, score double, weak boolean, weak_a boolean, weak_b boolean")
-        .where(F.col("score") >= least)
-    )
+    scored = cut(scored_pairs(names, learned, least, common))
     strong = components(scored.where(~F.col("weak")).select(F.col("name_a").alias("src"), F.col("name_b").alias("dst")))
     strong = strong.select(F.col("node").alias("name"), F.col("component").alias("cls"))
     # Spellings that are not written out: to the class of the written-out names they fit.
@@ -530,9 +680,10 @@ def variants(names: DataFrame, least: float = 0.8, common: int = 60) -> DataFram
     or family name is left out by an exact check at the end.
     """
     clean = names.where(F.col("name").isNotNull() & F.col("name").rlike(r"\p{L}")).select("name").distinct()
-    clean = cut(clean)
+    clean = parsed(clean)
     learned = learned_words(clean)
-    cls = cut(variant_classes(clean, least, common, learned))
-    a, b = cls.withColumnRenamed("name", "name_a"), cls.withColumnRenamed("name", "name_b")
-    pairs = a.join(b, "cls").where("name_a < name_b").select("name_a", "name_b").distinct()
-    return pairs.mapInPandas(_same(learned), "name_a string, name_b string")
+    cls = variant_classes(clean, least, common, learned)
+    cls = cut(cls.join(clean, "name"))
+    a, b = (cls.withColumnsRenamed({"name": f"name_{x}", "told": f"told_{x}"}) for x in "ab")
+    pairs = a.join(b, "cls").where("name_a < name_b").select("name_a", "name_b", "told_a", "told_b")
+    return pairs.mapInPandas(_same(learned), "name_a string, name_b string").distinct()

@@ -25,7 +25,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 def p2_classes(spark: SparkSession, d: str) -> DataFrame:
     """One row for each linked spelling: its class and the class's size."""
     clean = _names(spark, d).where(F.col("name").rlike(r"\p{L}")).select("name").distinct()
-    cls = cut(names.variant_classes(cut(clean)))
+    cls = cut(names.variant_classes(clean))
     return cls.join(cls.groupBy("cls").agg(F.count(F.lit(1)).alias("spellings")), "cls").select("name", "cls", "spellings")
 
 
